@@ -64,7 +64,7 @@ def q_spells_merge(d: Data):
     return join_spells(repair_dates(raw_episodes(d)), "tpid", "merge")
 
 
-# row by row, as the reference walks them
+# row by row, without aggregating to admissions
 CHAIN_SQL = f"""
 WITH {EPISODE_SQL}, e AS (SELECT DISTINCT * FROM repaired),
 m AS (SELECT *, max(disdate) OVER (PARTITION BY tpid, admidate) AS md,
