@@ -11,8 +11,13 @@ from linkcohort.functions.values import as_col, as_int
 
 
 def parse_date(c: Column | str) -> Column:
-    """A date from ``yyyy-MM-dd`` text; anything unreadable becomes NULL."""
-    return F.try_to_date(as_col(c), "yyyy-MM-dd")
+    """A date from ``yyyy-MM-dd`` text; anything unreadable becomes NULL.
+
+    A cast reads this form an order of magnitude faster than a format string; it
+    would also take a bare year or month, which the length rules out.
+    """
+    c = as_col(c)
+    return F.when(F.length(c) >= 8, c.try_cast("date"))
 
 
 def month_date(year: Column | str, month: Column | str, day: int = 15) -> Column:

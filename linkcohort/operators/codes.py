@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from linkcohort.operators.reshape import melt
 from linkcohort.sources.files import MAX_CODES, bounded_codes
 
+SEPARATOR = "\u0001"  # between packed codes; no coding system uses it
+
 
 def melt_codes(
     df: DataFrame, ids: Sequence[str], code_cols: Sequence[str], truncate: int | None = 4
@@ -27,6 +29,33 @@ def melt_codes(
     }).drop("field")
 
 
+def pack_codes(code_cols: Sequence[str]) -> Column:
+    """All code columns of a row as one text, positions kept, blanks after the last code cut.
+
+    Dozens of mostly blank columns become one short one, so that distinct, joins
+    and shuffles of episodes stay narrow.
+    """
+    texts = ", ".join(f"coalesce(`{c}`, '')" for c in code_cols)
+    return F.rtrim(F.expr(f"concat_ws('{SEPARATOR}', {texts})"), F.lit(SEPARATOR))
+
+
+def unpack_codes(
+    df: DataFrame, ids: Sequence[str], packed: str, families: Mapping[str, int], truncate: int | None = 4
+) -> DataFrame:
+    """The long form of packed codes, as :func:`melt_codes` gives it.
+
+    ``families`` are the code types in packing order with their numbers of columns.
+    """
+    long = df.select(*ids, F.posexplode(F.split(packed, SEPARATOR)).alias("_pos", "code")).filter(F.col("code") != "")
+    kind, number, start = F.lit(None).cast("string"), F.lit(None).cast("int"), 0
+    for name, n in families.items():
+        here = F.col("_pos") >= start
+        kind, number = F.when(here, F.lit(name)).otherwise(kind), F.when(here, F.col("_pos") + 1 - start).otherwise(number)
+        start += n
+    code = F.substring("code", 1, truncate) if truncate else F.col("code")
+    return long.select(*ids, code.alias("code"), kind.alias("code_type"), number.alias("code_no"))
+
+
 def match_codes(
     df: DataFrame,
     codes: DataFrame,
@@ -67,13 +96,13 @@ def in_codelist(code: Column, codes: Sequence[str], lengths: Sequence[int] = (3,
 def any_code(
     df: DataFrame,
     out: str,
-    code_cols: Sequence[str],
+    packed: str,
     codes: DataFrame,
     keys: Sequence[str],
     lengths: Sequence[int] = (3, 4),
     max_codes: int = MAX_CODES,
 ) -> DataFrame:
-    """Flag rows having any code of the list in any of their code columns.
+    """Flag rows having any code of the list among their packed codes.
 
     A codelist of ordinary size becomes constants tested in place, which costs no
     shuffle and no long form. A larger one is semi-joined to the long form, and
@@ -81,8 +110,8 @@ def any_code(
     """
     listed = bounded_codes(codes, max_codes)
     if listed is not None:
-        return df.withColumn(out, F.exists(F.array(*code_cols), lambda c: in_codelist(c, listed, lengths)))
-    long = melt_codes(df, keys, code_cols, truncate=None)
+        return df.withColumn(out, F.exists(F.split(packed, SEPARATOR), lambda c: in_codelist(c, listed, lengths)))
+    long = unpack_codes(df, keys, packed, {"code": 1}, truncate=None)
     hits = None
     for k in lengths:
         side = codes.filter(F.length("code") == k).select(F.col("code").alias("_c"))

@@ -119,31 +119,48 @@ def resolve(
     cols: Sequence[str],
     on_conflict: str | Mapping[str, str] = "null",
     order_by: Sequence[str] = (),
+    where: Column | None = None,
+    unless: Column | None = None,
 ) -> DataFrame:
     """One row per key holding each column's single non-NULL value.
 
     Where a key has several distinct values the column's policy decides: ``drop``
     the key, ``null`` the value, or keep the ``first`` row's value by ``order_by``.
+
+    Only rows meeting ``where`` count, and a key with any row meeting ``unless``
+    is left out; both are settled in the same aggregate.
     """
     policy = {c: on_conflict if isinstance(on_conflict, str) else on_conflict[c] for c in cols}
     kept = [c for c in cols if policy[c] == "first"]
     if kept and not order_by:
         raise ValueError("policy 'first' needs order_by")
+
+    def counted(c: Column) -> Column:
+        return c if where is None else F.when(where, c)
+
     measures = []
     for c in cols:
-        measures += [F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
+        measures += [F.min(counted(F.col(c))).alias(f"_lo_{c}"), F.max(counted(F.col(c))).alias(f"_hi_{c}")]
     if kept:
-        measures.append(F.min(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)], *kept)).alias("_first"))
+        row = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)], *kept)
+        measures.append(F.min(counted(row)).alias("_first"))
+    keep = []
+    if where is not None:
+        measures.append(F.bool_or(where).alias("_counted"))
+        keep.append(F.col("_counted"))
+    if unless is not None:
+        measures.append(F.coalesce(F.bool_or(unless), F.lit(False)).alias("_barred"))
+        keep.append(~F.col("_barred"))
     g = df.groupBy(key).agg(*measures)
-    out, keep_row = [], None
+    out = []
     for c in cols:
         same = F.col(f"_lo_{c}").eqNullSafe(F.col(f"_hi_{c}"))
         if policy[c] == "drop":
-            keep_row = same if keep_row is None else keep_row & same
+            keep.append(same)
         other = F.col("_first")[c] if policy[c] == "first" else F.lit(None)
         out.append(F.when(same, F.col(f"_lo_{c}")).otherwise(other).alias(c))
-    if keep_row is not None:
-        g = g.filter(keep_row)
+    for cond in keep:
+        g = g.filter(cond)
     return g.select(key, *out)
 
 

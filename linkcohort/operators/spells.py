@@ -10,6 +10,7 @@ calendar days, however many episodes the person has; the bounds are joined back.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,28 +38,44 @@ def repair_dates(
     dates.
     """
     cols = [epistart, epiend, admidate, disdate]
+    order = df.columns
 
     def clean(c: str) -> Column:
         d = F.col(c) if isinstance(df.schema[c].dataType, T.DateType) else parse_date(F.col(c).cast("string"))
         return F.when(d > F.lit(UNKNOWN_DATE), d)
 
-    out = df.withColumns({c: clean(c) for c in cols})
+    out = _derive(df, {c: clean(c) for c in cols})
     out = out.filter(F.col(epistart).isNotNull() & F.col(admidate).isNotNull() & F.col(epiend).isNotNull())
-    out = out.withColumn(disdate, F.coalesce(F.col(disdate), F.col(epiend)))
+    out = _derive(out, {disdate: F.coalesce(F.col(disdate), F.col(epiend))})
     turned = F.col(admidate) > F.col(disdate)
 
     def swapped(a: str, b: str) -> Column:
         return F.when(turned, F.col(b)).otherwise(F.col(a))
 
-    out = out.withColumns({
+    out = _derive(out, {
         epistart: swapped(epistart, epiend), epiend: swapped(epiend, epistart),
         admidate: swapped(admidate, disdate), disdate: swapped(disdate, admidate),
     })
     late = F.col(epistart) > F.col(epiend)
-    return out.withColumns({
+    out = _derive(out, {
         epistart: F.when(late, F.col(admidate)).otherwise(F.col(epistart)),
         epiend: F.when(late, F.col(disdate)).otherwise(F.col(epiend)),
     })
+    return out.filter(all_present(cols)).select(*order)
+
+
+def all_present(cols: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in cols))
+
+
+def _derive(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
+    """Replace columns by expressions over the old ones, each computed once per row.
+
+    A plain projection would be unfolded into every filter that later steps push
+    down, several levels deep. A generator of one row is not.
+    """
+    row = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select(*[c for c in df.columns if c not in cols], F.inline(F.array(row)))
 
 
 def spell_bounds(
@@ -81,6 +98,9 @@ def spell_bounds(
     adm = df.groupBy(person, F.col(admidate).alias("_adm")).agg(
         F.max(disdate).alias("_dis"), F.max(epiend).alias("_epi"), F.count(F.lit(1)).alias("_n")
     )
+    # the count depends on the distinct rows, so both sides of the join in
+    # join_spells share one shuffle of them and the extracts are read once
+    adm = adm.filter(F.col("_n") > 0)
     by_date = Window.partitionBy(person).orderBy("_adm")
     if mode == "merge":
         before = by_date.rowsBetween(Window.unboundedPreceding, -1)
@@ -122,7 +142,7 @@ def join_spells(
     Dates must have been repaired. Rows without a person id belong to no spell
     and are dropped.
     """
-    df = df.filter(F.col(person).isNotNull()).distinct()
+    df = df.filter(all_present([person, admidate])).distinct()
     return df.join(spell_bounds(df, person, mode, epiend, admidate, disdate), [person, admidate], "inner")
 
 

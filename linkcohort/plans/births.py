@@ -12,9 +12,9 @@ from linkcohort.config import (
     STILLBORN_BIRSTAT, STILLBORN_DISMETH, Config,
 )
 from linkcohort.functions import (
-    academic_year, any_true, dob_approx, inception_year, nullify, nullify_outside, recode, september,
+    academic_year, any_true, dob_approx, inception_year, nullify, nullify_outside, parse_date, recode, september,
 )
-from linkcohort.operators import any_code, link, repair_dates, resolve, with_year7, within_window
+from linkcohort.operators import any_code, link, pack_codes, repair_dates, resolve, with_year7, within_window
 from linkcohort.sources import Tables, bounded_codes, discover, numbered, open_table, union_family
 
 DIAG = numbered("diag", 20)
@@ -29,27 +29,31 @@ BIRTH_FIELDS = {
 
 
 def episode_rows(tables: Tables, cfg: Config, years, fields: dict[str, str], codes: Sequence[str]) -> DataFrame:
-    """Hospital episodes of the given financial years; rows without a person are dropped."""
+    """Hospital episodes of the given financial years, their codes packed into ``codes``.
+
+    Rows without a person are dropped.
+    """
     types = {"tpid": "string", **{d: "string" for d in EPISODE_DATES}, **fields, **{c: "string" for c in codes}}
     columns = {c: f"^{c}$" for c in types} | {"tpid": "^token_?person_?id$"}
     names = discover(tables, cfg.episode_tables, years)
-    return union_family(tables, names, columns, types, where=F.col("tpid").isNotNull()).drop("source_table")
+    rows = union_family(tables, names, columns, types, where=F.col("tpid").isNotNull())
+    return rows.select("tpid", *EPISODE_DATES, *fields, pack_codes(codes).alias("codes"))
 
 
 def _flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def birth_episodes(df: DataFrame, births: DataFrame, exclusions: DataFrame, diag: Sequence[str] = DIAG) -> DataFrame:
-    """Episodes that record a live singleton birth.
+def mark_births(df: DataFrame, births: DataFrame, exclusions: DataFrame) -> DataFrame:
+    """Episodes with any birth marker, and what speaks against a live singleton birth.
 
-    Any one birth marker makes an episode a birth; a stillbirth, termination or
-    multiple-birth code on any of a person's birth episodes removes the person,
-    the administrative markers of the same remove the episode.
+    ``barred``: a stillbirth, termination or multiple-birth code, which excludes
+    the person; ``single``: no administrative marker of the same, which would
+    exclude the episode alone.
     """
     df = df.filter(F.col("startage").isin(*BIRTH_STARTAGE))
     keys = ["tpid", "epikey"]
-    df = any_code(df, "_birth", diag, births.filter(F.col("field") == "diag"), keys, lengths=(3,))
+    df = any_code(df, "_birth", "codes", births.filter(F.col("field") == "diag"), keys, lengths=(3,))
     hrg = bounded_codes(births.filter(F.col("field") == "hrg")) or []
     markers = [
         F.col("_birth"),
@@ -63,15 +67,25 @@ def birth_episodes(df: DataFrame, births: DataFrame, exclusions: DataFrame, diag
     listed = exclusions.filter(
         (F.col("field") == "diag") & ((F.col("group") == "stillbirth") | (F.length("code") == 4))
     )
-    excluded = any_code(df.select(*keys, *diag), "_out", diag, listed, keys).filter("_out").select("tpid")
-    df = df.join(excluded, "tpid", "left_anti")
+    df = any_code(df, "barred", "codes", listed, keys)
     not_single = [
         F.col("birordr_1") > 1,
         F.col("dismeth") == STILLBORN_DISMETH,
         F.col("birstat_1").isin(*STILLBORN_BIRSTAT),
         F.col("numbaby") > 1,
     ]
-    return df.filter(~any_true([_flag(m) for m in not_single]))
+    return df.withColumn("single", ~any_true([_flag(m) for m in not_single]))
+
+
+def birth_episodes(df: DataFrame, births: DataFrame, exclusions: DataFrame) -> DataFrame:
+    """Episodes that record a live singleton birth.
+
+    To reduce them to one row per person, aggregate :func:`mark_births` instead,
+    which needs no second look at the people excluded.
+    """
+    marked = mark_births(df, births, exclusions)
+    barred = marked.filter("barred").select("tpid")
+    return marked.filter("single").join(barred, "tpid", "left_anti").drop("barred", "single")
 
 
 def plausible(df: DataFrame) -> DataFrame:
@@ -91,14 +105,14 @@ def birth_characteristics(
     df = episode_rows(tables, cfg, cfg.birth_years, fields, DIAG)
     df = with_year7(df, spine, "tpid")
     lo, hi = september(F.col("y7_year") - 13), september(F.col("y7_year") - 12)
-    df = within_window(df, F.col("epistart").try_cast("date"), lo, hi, "or" if cfg.compat.birth_window_or else "and")
-    df = plausible(birth_episodes(repair_dates(df), births, exclusions))
+    df = within_window(df, parse_date("epistart"), lo, hi, "or" if cfg.compat.birth_window_or else "and")
+    df = plausible(mark_births(repair_dates(df), births, exclusions))
     df = df.withColumn("imd_decile", recode("imd04_decile", IMD_DECILES))
     cols = ["gestat", "birweit", "matage", "imd_decile"]
     policy = dict.fromkeys(cols, "null")
     if cfg.compat.keep_first_on_conflict:
         policy |= {"matage": "first", "imd_decile": "first"}
-    return resolve(df, "tpid", cols, policy, order_by=["epistart", "epikey"])
+    return resolve(df, "tpid", cols, policy, ["epistart", "epikey"], F.col("single"), F.col("barred"))
 
 
 def birth_spine(
@@ -110,10 +124,11 @@ def birth_spine(
     """
     df = episode_rows(tables, cfg, cfg.birth_years, {**BIRTH_FIELDS, "mydob": "string"}, DIAG)
     lo, hi = september(min(cfg.birth_cohorts) - 1), september(max(cfg.birth_cohorts))
-    df = within_window(df, F.col("epistart").try_cast("date"), lo, hi)
-    df = plausible(birth_episodes(repair_dates(df), births, exclusions))
+    df = within_window(df, parse_date("epistart"), lo, hi)
+    df = plausible(mark_births(repair_dates(df), births, exclusions))
     df = df.withColumn("dob_approx", dob_approx("mydob"))
-    spine = resolve(df, "tpid", ["dob_approx", "gestat", "birweit", "matage"], "drop")
+    cols = ["dob_approx", "gestat", "birweit", "matage"]
+    spine = resolve(df, "tpid", cols, "drop", where=F.col("single"), unless=F.col("barred"))
     spine = spine.withColumn("academic_yob", academic_year("dob_approx"))
     bridge = open_table(tables, cfg.bridge_table) if bridge is None else bridge
     unique = ["tpid"] if cfg.compat.link_fan_out else ["tpid", "pmr"]

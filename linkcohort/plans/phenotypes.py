@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkcohort.config import Config
 from linkcohort.operators import (
-    join_spells, los_nights, match_codes, melt_codes, repair_dates, restrict_to, within_school_window,
+    join_spells, los_nights, match_codes, repair_dates, restrict_to, unpack_codes, within_school_window,
 )
 from linkcohort.plans.births import DIAG, OPERTN, episode_rows
 from linkcohort.sources import Tables
@@ -20,6 +20,7 @@ PRESENTATIONS = {
     "thought_disorder": "thought_dis",
     "selfharm": "selfharm",
 }
+MEDICAL = "medical"
 NOT_COUNTED = "selfharm_xz_codes"  # flag2 value ignored for externalising and self-harm
 OUT = ["tpid", "y7_year", "code", "group", "epistart", "phen_group"]
 
@@ -32,9 +33,10 @@ def primary_school_episodes(tables: Tables, cfg: Config, spine: DataFrame) -> Da
     return df.withColumn("spell_los_nights", los_nights())
 
 
-def long_codes(df: DataFrame, codes=(*DIAG, *OPERTN)) -> DataFrame:
+def long_codes(df: DataFrame) -> DataFrame:
+    """One row per code of each episode, cut to four characters."""
     ids = ["tpid", "y7_year", "epistart", "spell_start", "admimeth", "startage", "spell_los_nights"]
-    return melt_codes(df, ids, list(codes))
+    return unpack_codes(df, ids, "codes", {"diag": len(DIAG), "opertn": len(OPERTN)})
 
 
 def chronic_conditions(long: DataFrame, codes: DataFrame, label: str = "chronic") -> DataFrame:
@@ -51,16 +53,21 @@ def chronic_conditions(long: DataFrame, codes: DataFrame, label: str = "chronic"
     return hit.filter(keep).withColumn("phen_group", F.lit(label)).select(*OUT)
 
 
-def _listed(codes: DataFrame, long: DataFrame, attrs: Column, name: str) -> DataFrame:
-    """Attach the set of attributes of every 3- and 4-character entry a code matches."""
-    entries = codes.groupBy("code").agg(F.collect_set(attrs).alias("_a"))
-    out = long
-    for k in (3, 4):
-        side = entries.filter(F.length("code") == k).select(F.col("code").alias(f"_c{k}"), F.col("_a").alias(f"_a{k}"))
-        out = out.join(side, F.substring("code", 1, k) == F.col(f"_c{k}"), "left")
-    empty = F.array().cast("array<string>")
-    union = F.array_union(F.coalesce("_a3", empty), F.coalesce("_a4", empty))
-    return out.withColumn(name, union).drop("_c3", "_c4", "_a3", "_a4")
+def presentation_entries(codes: DataFrame, medical: DataFrame) -> DataFrame:
+    """All listed codes by type and compared length, with what they stand for.
+
+    Diagnoses are compared by their first 3 or 4 characters according to the
+    entry, operations by all (at most 4) characters.
+    """
+    ignored = F.col("group").isin("externalising", "selfharm") & (F.col("flag2") == NOT_COUNTED)
+    groups = codes.filter(~ignored & F.col("group").isin(*PRESENTATIONS)).select(
+        F.lit("diag").alias("_type"), "code", F.col("group").alias("_tag")
+    )
+    kind = F.when(F.col("code_type") == "icd10", "diag").when(F.col("code_type") == "opcs4", "opertn")
+    exempt = medical.select(kind.alias("_type"), "code", F.lit(MEDICAL).alias("_tag"))
+    rows = groups.unionByName(exempt).filter(F.col("_type").isNotNull())
+    rows = rows.withColumn("_k", F.when(F.col("_type") == "opertn", 4).otherwise(F.length("code")))
+    return rows.groupBy("_type", "_k", "code").agg(F.collect_set("_tag").alias("_tags"))
 
 
 def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergency: DataFrame) -> DataFrame:
@@ -72,29 +79,29 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
 
     Only rows that match a list reach the episode aggregate.
     """
-    listed = codes.filter(~(F.col("group").isin("externalising", "selfharm") & (F.col("flag2") == NOT_COUNTED)))
-    diag = restrict_to(
-        long.filter(F.col("code_type") == "diag"), emergency.select(F.col("code").alias("admimeth")), "admimeth"
-    )
-    icd = medical.filter(F.col("code_type") == "icd10").select("code")
-    opcs = medical.filter(F.col("code_type") == "opcs4").select("code")
+    urgent = emergency.select(F.col("code").alias("admimeth")).distinct().withColumn("_urgent", F.lit(True))
+    rows = long.join(urgent, "admimeth", "left")
+    rows = rows.filter(F.col("_urgent") | (F.col("code_type") == "opertn"))
+    diag = long.filter(F.col("code_type") == "diag").join(urgent, "admimeth", "left_semi")
+
+    entries = presentation_entries(codes, medical)
+    marked = rows
+    for k in (3, 4):
+        side = entries.filter(F.col("_k") == k).select(
+            F.col("_type").alias(f"_t{k}"), F.col("code").alias(f"_c{k}"), F.col("_tags").alias(f"_tags{k}")
+        )
+        same = (F.col("code_type") == F.col(f"_t{k}")) & (F.substring("code", 1, k) == F.col(f"_c{k}"))
+        marked = marked.join(side, same, "left")
+    marked = marked.filter(F.col("_tags3").isNotNull() | F.col("_tags4").isNotNull())
+
+    def tagged(name: str) -> Column:
+        found = [F.coalesce(F.array_contains(f"_tags{k}", name), F.lit(False)) for k in (3, 4)]
+        return found[0] | found[1]
 
-    marked = _listed(listed, diag, F.col("group"), "_groups")
-    marked = _listed(icd, marked, F.lit("m"), "_medical")
     first = F.col("code_no") == 1
-    flags = {
-        out: F.array_contains("_groups", name) & (F.lit(True) if out == "selfharm" else first)
-        for name, out in PRESENTATIONS.items()
-    }
-    marked = marked.select("tpid", "epistart", (F.size("_medical") > 0).alias("_med"),
-                           *[c.alias(n) for n, c in flags.items()])
-    hit = F.col("_med")
-    for n in flags:
-        hit = hit | F.col(n)
-    ops = restrict_to(long.filter(F.col("code_type") == "opertn"), opcs, "code")
-    ops = ops.select("tpid", "epistart", F.lit(True).alias("_med"), *[F.lit(False).alias(n) for n in flags])
-    episodes = marked.filter(hit).unionByName(ops).groupBy("tpid", "epistart").agg(
-        F.bool_or("_med").alias("_med"), *[F.bool_or(n).alias(n) for n in flags]
+    flags = {out: tagged(name) & (F.lit(True) if out == "selfharm" else first) for name, out in PRESENTATIONS.items()}
+    episodes = marked.groupBy("tpid", "epistart").agg(
+        F.bool_or(tagged(MEDICAL)).alias("_med"), *[F.bool_or(c).alias(n) for n, c in flags.items()]
     )
     episodes = episodes.withColumn("psych", F.col("psych") & ~F.col("_med"))
     group = F.lit(None).cast("string")
@@ -105,11 +112,9 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
 
 
 def phenotype_codes(
-    tables: Tables, cfg: Config, spine: DataFrame,
-    chronic: DataFrame, presenting: DataFrame, medical: DataFrame, emergency: DataFrame,
+    long: DataFrame, cfg: Config, chronic: DataFrame, presenting: DataFrame, medical: DataFrame, emergency: DataFrame
 ) -> DataFrame:
     """Long table of phenotype codes: chronic conditions and presentations together."""
-    long = long_codes(primary_school_episodes(tables, cfg, spine))
     return chronic_conditions(long, chronic, cfg.chronic_label).unionByName(
         presentations(long, presenting, medical, emergency)
     )

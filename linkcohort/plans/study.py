@@ -53,7 +53,7 @@ class Study:
         return spines.school_spine(self.tables, self.config)
 
     def modules(self, spine: DataFrame) -> dict[str, DataFrame]:
-        """One lazy result per module, by the name it is saved under."""
+        """One result per module, by the name it is saved under; lazy but for the hospital codes."""
         t, c, lists, csv = self.tables, self.config, self.codelists, self.csv or {}
         out = {
             "demographics_modals": demographics.modal_demographics(t, c, spine),
@@ -68,9 +68,11 @@ class Study:
         if c.inception == "school" and "births" in lists:
             out["birth_records"] = births.birth_characteristics(t, c, spine, lists["births"], lists["multiple_still_births"])
         if "chronic" in lists:
+            # written first: chronic conditions and presentations each read it
+            long = phenotypes.long_codes(phenotypes.primary_school_episodes(t, c, spine))
             out["phen_codes"] = phenotypes.phenotype_codes(
-                t, c, spine, lists["chronic"], lists["presentations"], lists["presentations_medical"],
-                lists["emergency_admissions"],
+                self.save(long, "hospital_codes"), c, lists["chronic"], lists["presentations"],
+                lists["presentations_medical"], lists["emergency_admissions"],
             )
         if "cin" in csv:
             out["social_care"] = care.social_care(csv["cin"], csv["cla"], c, spine)

@@ -24,7 +24,11 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 def find_column(df: DataFrame, pattern: str) -> str | None:
     """The one column whose lower-cased name matches; an error if several do."""
-    hits = [c for c in df.columns if re.search(pattern, c.lower())]
+    return _find(df.columns, pattern)
+
+
+def _find(names: Sequence[str], pattern: str) -> str | None:
+    hits = [c for c in names if re.search(pattern, c.lower())]
     if len(hits) > 1:
         raise ValueError(f"pattern {pattern!r} matches several columns: {hits}")
     return hits[0] if hits else None
@@ -41,19 +45,26 @@ def harmonise(
     ``types`` casts (leniently). A column that is absent is an error unless it
     is ``optional``, in which case it is a typed NULL.
     """
+    return df.selectExpr(*canonical(df, columns, types, optional))
+
+
+def canonical(
+    df: DataFrame, columns: Mapping[str, str], types: Mapping[str, str] | None = None, optional: Iterable[str] = ()
+) -> list[str]:
+    """The select list of :func:`harmonise`, as SQL expressions."""
     types, optional = types or {}, set(optional)
-    picked: list[Column] = []
+    names, out = df.columns, []
     for canon, pattern in columns.items():
-        hit = find_column(df, pattern)
+        hit = _find(names, pattern)
         if hit is None and canon not in optional:
-            raise ValueError(f"no column matches {pattern!r} among {df.columns}")
+            raise ValueError(f"no column matches {pattern!r} among {names}")
         if hit is None:
-            col = F.lit(None).cast(types.get(canon, "string"))
+            out.append(f"CAST(NULL AS {types.get(canon, 'string')}) AS `{canon}`")
+        elif canon in types:
+            out.append(f"TRY_CAST(`{hit}` AS {types[canon]}) AS `{canon}`")
         else:
-            col = F.col(f"`{hit}`")
-            col = col.try_cast(types[canon]) if canon in types else col
-        picked.append(col.alias(canon))
-    return df.select(*picked)
+            out.append(f"`{hit}` AS `{canon}`")
+    return out
 
 
 def year_group(
@@ -104,7 +115,7 @@ def union_family(
         cond = where(name) if callable(where) else where
         if cond is not None:
             df = df.filter(cond)
-        frames.append(df.select(*(keep or columns)).withColumn(lineage, F.lit(name)))
+        frames.append(df.selectExpr(*(f"`{c}`" for c in keep or columns), f"'{name}' AS `{lineage}`"))
     return union_all(frames)
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from linkcohort.operators import any_code, match_codes, melt_codes
+from linkcohort.operators import any_code, match_codes, melt_codes, pack_codes, unpack_codes
 from linkcohort.sources import codelist
 from workload import Data, case
 
@@ -46,6 +46,17 @@ def q_melt_codes(d: Data):
     return melt_codes(wide, ["p_partkey"], ["diag_01", "diag_02", "opertn_01"])
 
 
+@case(LONG_SQL)
+def q_packed_codes(d: Data):
+    wide = d.part.select(
+        "p_partkey", F.regexp_replace("p_brand", "Brand#", "B").alias("diag_01"),
+        F.when(F.col("p_size") > 25, F.upper("p_type")).otherwise("").alias("diag_02"),
+        F.nullif(F.col("p_type"), F.lit("PROMO")).alias("opertn_01"),
+    )
+    packed = wide.select("p_partkey", pack_codes(["diag_01", "diag_02", "opertn_01"]).alias("codes"))
+    return unpack_codes(packed, ["p_partkey"], "codes", {"diag": 2, "opertn": 1})
+
+
 ANY_SQL = """
 SELECT p_partkey, p_brand IN ('Brand#1','Brand#10','Brand#11','Brand#12','Brand#13','Brand#14','Brand#15','Brand#16','Brand#17','Brand#18','Brand#19',
   'Brand#2','Brand#20','Brand#21','Brand#22','Brand#23','Brand#24','Brand#25','Brand#9')
@@ -55,8 +66,9 @@ SELECT p_partkey, p_brand IN ('Brand#1','Brand#10','Brand#11','Brand#12','Brand#
 
 def _any(d: Data, **how):
     wide = d.part.select("p_partkey", F.regexp_replace("p_brand", "Brand#", "B").alias("c_1"), F.substring("p_type", 1, 2).alias("c_2"))
+    wide = wide.select("p_partkey", pack_codes(["c_1", "c_2"]).alias("codes"))
     listed = codelist(d.spark, [*[(c,) for c, *_ in BRANDS], ("PR",)], ["code"])
-    return any_code(wide, "listed", ["c_1", "c_2"], listed, ["p_partkey"], lengths=(2, 3), **how).select("p_partkey", "listed")
+    return any_code(wide, "listed", "codes", listed, ["p_partkey"], lengths=(2, 3), **how).select("p_partkey", "listed")
 
 
 @case(ANY_SQL)

@@ -49,26 +49,29 @@ SPINE = """spine AS (SELECT 'P' || c_custkey AS pmr, CAST(1996 + c_custkey % 3 A
 ETHNICITY = [" WBRI ", "Black - African", "MWAS", "REFU", "Chinese"]
 GENDER, LANGUAGE = ["F", "M", "1", "2", "0", "9"], ["1_ENG", "OTH", "ZZZ"]
 SEN = ["A", "P", "K", "E", "e", "S", "N", "N", "N"]
-KEY = F.col("o_orderkey")
+
+
+def okey() -> Column:
+    return F.col("o_orderkey")
 
 
 def _census(d: Data, year: int) -> DataFrame:
     s = f"{TERMS[year][:3].upper()}{year % 100:02d}"
-    nc = KEY % 9
+    nc = okey() % 9
     cols = {
         "PupilMatchingRefAnonymous": F.concat(F.lit("P"), F.col("o_custkey")),
-        "AgeAtStartOfAcademicYear": (4 + KEY % 10).cast("string"),
-        "MonthPartOfAgeAtStartOfAcademicYear": KEY % 12,
+        "AgeAtStartOfAcademicYear": (4 + okey() % 10).cast("string"),
+        "MonthPartOfAgeAtStartOfAcademicYear": okey() % 12,
         "NCyearActual": F.when(nc == 0, "R").when(nc == 8, "X").otherwise(nc.cast("string")),
         "AcademicYear": F.lit(f"{year - 1}/{year}"),
-        "Gender": pick(GENDER, KEY),
-        "EthnicGroupMajor": pick(ETHNICITY, F.floor(KEY / 3)),
-        "LanguageGroupMajor": pick(LANGUAGE, F.floor(KEY / 4)),
-        "YearOfBirth": (1984 + KEY % 2 + F.col("o_custkey") % 2).cast("int"),
+        "Gender": pick(GENDER, okey()),
+        "EthnicGroupMajor": pick(ETHNICITY, F.floor(okey() / 3)),
+        "LanguageGroupMajor": pick(LANGUAGE, F.floor(okey() / 4)),
+        "YearOfBirth": (1984 + okey() % 2 + F.col("o_custkey") % 2).cast("int"),
         "MonthOfBirth": (1 + F.col("o_custkey") % 12).cast("int"),
         "FSMeligible": F.when(F.col("o_totalprice") > 400000, 1).when(F.col("o_totalprice") > 50000, 0),
-        "IDACI_Decile": (1 + KEY % 10).cast("int"),
-        "SENprovision": pick(SEN, F.floor(KEY / 2)),
+        "IDACI_Decile": (1 + okey() % 10).cast("int"),
+        "SENprovision": pick(SEN, F.floor(okey() / 2)),
     }
     if year in (1997, 1998):
         del cols["EthnicGroupMajor"]
@@ -121,7 +124,7 @@ PRU = f"""pru AS (SELECT 'P' || c_custkey AS pmr, CASE c_nationkey % 9 WHEN 0 TH
 
 
 def _bridge(d: Data) -> DataFrame:
-    token = F.when(KEY % 11 != 0, F.concat(F.lit("T"), F.col("o_custkey") - KEY % 2))
+    token = F.when(okey() % 11 != 0, F.concat(F.lit("T"), F.col("o_custkey") - okey() % 2))
     return d.orders.select(F.concat(F.lit("P"), F.col("o_custkey")).alias("pmr"), token.alias("tpid"))
 
 
@@ -143,7 +146,7 @@ def exclusion_tables(d: Data) -> dict[str, DataFrame]:
             F.concat(F.lit("P"), F.col("o_custkey")).alias(f"PupilMatchingRefAnonymous_ex{y % 100:02d}"),
             F.lit(f"{y - 1}/{y}").alias(f"AcademicYear_ex{y % 100:02d}"),
             F.when(status == "F", "PERM").when(status == "O", "FIXD").otherwise("LNCH").alias(f"Category_ex{y % 100:02d}"),
-            (KEY % 10).cast("int").alias(f"Sessions_ex{y % 100:02d}"),
+            (okey() % 10).cast("int").alias(f"Sessions_ex{y % 100:02d}"),
             F.col("o_orderdate").cast("date").alias(f"StartDate_ex{y % 100:02d}"),
         )
         for y in range(1996, 2002)
@@ -169,8 +172,8 @@ def absence_tables(d: Data) -> dict[str, DataFrame]:
         cols = [F.concat(F.lit("P"), F.col("o_custkey")).alias(f"PupilMatchingRefAnonymous_{s}"), F.lit(f"{y - 1}/{y}").alias(f"AcademicYear_{s}")]
         for stem, m in ABSENCE.items():
             for i, term in enumerate(ABSENCE_TERMS):
-                value = ((KEY + i) % m + (20 if m == 30 else 0)).cast("int")
-                cols.append((F.when(KEY % 4 != 0, value) if i == 3 else value).alias(f"{stem}_{term}_{s}"))
+                value = ((okey() + i) % m + (20 if m == 30 else 0)).cast("int")
+                cols.append((F.when(okey() % 4 != 0, value) if i == 3 else value).alias(f"{stem}_{term}_{s}"))
         out[f"Absence_{y}"] = of_year(d.orders, "o_orderdate", y).select(*cols)
     return out
 
@@ -219,7 +222,7 @@ def outpatient_tables(d: Data) -> dict[str, DataFrame]:
         f"HES_OP_{y - 6}": of_year(d.orders, "o_orderdate", y).select(
             F.concat(F.lit("T"), F.col("o_custkey")).alias("TOKEN_PERSON_ID"),
             F.date_sub(F.col("o_orderdate").cast("date"), SHIFT).cast("string").alias("APPTDATE"),
-            pick(FIRSTATT, KEY).alias("FIRSTATT"), pick(ATTENDED, KEY).alias("ATTENDED"), pick(SPECIALTY, KEY).alias("TRETSPEF"),
+            pick(FIRSTATT, okey()).alias("FIRSTATT"), pick(ATTENDED, okey()).alias("ATTENDED"), pick(SPECIALTY, okey()).alias("TRETSPEF"),
         )
         for y in TERMS
     }
@@ -252,7 +255,10 @@ care AS (SELECT s.pmr, bool_or(cin) AS ever_cin, bool_or(cpp) AS ever_cpp, bool_
 
 CODES = ["J450", "J451", "F329", "X600", "E109", "R104", "F200", "F913", "K35", ""]
 OPS, ADMIMETH = ["", "A123", "B45", ""], ["21", "22", "11", "2A", "82"]
-LINE, PARTKEY, ORDKEY, SUPP = (F.col(f"l_{c}") for c in ("linenumber", "partkey", "orderkey", "suppkey"))
+
+
+def line(name: str) -> Column:
+    return F.col(f"l_{name}")
 
 
 def _episode_dates(day: Column) -> dict[str, Column]:
@@ -260,8 +266,8 @@ def _episode_dates(day: Column) -> dict[str, Column]:
     return {
         "EPISTART": day.cast("string"),
         "EPIEND": F.when((F.col("l_tax") == 0.07) & (F.col("l_discount") == 0), "1801-01-01").otherwise(F.date_add(day, q % 9 - 1).cast("string")),
-        "ADMIDATE": F.when((F.col("l_tax") == 0.08) & (F.col("l_discount") == 0), "").otherwise(F.date_sub(day, LINE % 3).cast("string")),
-        "DISDATE": F.when(LINE != 7, F.date_add(day, q * 3 % 70 - 2).cast("string")),
+        "ADMIDATE": F.when((F.col("l_tax") == 0.08) & (F.col("l_discount") == 0), "").otherwise(F.date_sub(day, line("linenumber") % 3).cast("string")),
+        "DISDATE": F.when(line("linenumber") != 7, F.date_add(day, q * 3 % 70 - 2).cast("string")),
     }
 
 
@@ -279,7 +285,7 @@ fixed AS (SELECT *, CASE WHEN epistart0 > epiend0 THEN admi0 ELSE epistart0 END
 
 
 def _diag3() -> dict[str, Column]:
-    return {"DIAG_01": pick(CODES, ORDKEY + LINE), "DIAG_02": pick(CODES, SUPP), "DIAG_03": pick(CODES, F.floor(ORDKEY / 10))}
+    return {"DIAG_01": pick(CODES, line("orderkey") + line("linenumber")), "DIAG_02": pick(CODES, line("suppkey")), "DIAG_03": pick(CODES, F.floor(line("orderkey") / 10))}
 
 
 DIAG3_SQL = f"""{pick_sql(CODES, 'l_orderkey + l_linenumber')} AS d1, {pick_sql(CODES, 'l_suppkey')} AS d2, {pick_sql(CODES, 'l_orderkey // 10')} AS d3"""
@@ -293,10 +299,11 @@ def _with_blank_codes(cols: dict[str, Column]) -> list[Column]:
 def episode_tables(d: Data) -> dict[str, DataFrame]:
     day = F.date_sub(F.col("l_shipdate").cast("date"), SHIFT)
     cols = {
-        "TOKEN_PERSON_ID": F.concat(F.lit("T"), PARTKEY), **_episode_dates(day), "ADMIMETH": pick(ADMIMETH, SUPP),
-        "STARTAGE": F.when(LINE == 1, 7001).otherwise((SUPP % 18).cast("int")), **_diag3(), "OPERTN_01": pick(OPS, SUPP),
+        "TOKEN_PERSON_ID": F.concat(F.lit("T"), line("partkey")), **_episode_dates(day), "ADMIMETH": pick(ADMIMETH, line("suppkey")),
+        "STARTAGE": F.when(line("linenumber") == 1, 7001).otherwise((line("suppkey") % 18).cast("int")), **_diag3(), "OPERTN_01": pick(OPS, line("suppkey")),
     }
-    return {f"HES_APC_{y - 6}": of_year(d.lineitem, "l_shipdate", y).select(*_with_blank_codes(cols)) for y in TERMS}
+    rows = d.lineitem.select(*_with_blank_codes(cols), "l_shipdate")
+    return {f"HES_APC_{y - 6}": of_year(rows, "l_shipdate", y).drop("l_shipdate") for y in TERMS}
 
 
 CHRONIC = [("E10", "", "metabolic"), ("J45", "LOS3", "respiratory"), ("J45.0", "AGE10", "asthma"), ("F20", "", "mental")]
@@ -362,26 +369,27 @@ IMD_SQL = "CASE {0} WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 6 WHEN 3 THEN 10 END
 
 
 def _rare(n: int, value, other) -> Column:
-    return F.when(ORDKEY % n == 0, value).otherwise(other)
+    return F.when(line("orderkey") % n == 0, value).otherwise(other)
 
 
 def birth_tables(d: Data) -> dict[str, DataFrame]:
     day = F.col("l_shipdate").cast("date")
-    extra = F.when(ORDKEY % 211 == 0, "P95").when(ORDKEY % 223 == 0, "Z371").when(ORDKEY % 227 == 0, "O041").when(ORDKEY % 229 == 0, "Z383").otherwise("")
+    extra = F.when(line("orderkey") % 211 == 0, "P95").when(line("orderkey") % 223 == 0, "Z371").when(line("orderkey") % 227 == 0, "O041").when(line("orderkey") % 229 == 0, "Z383").otherwise("")
     cols = {
-        "TOKEN_PERSON_ID": F.concat(F.lit("T"), PARTKEY), **_episode_dates(day),
-        "MYDOB": F.concat((1 + PARTKEY % 12 + _rare(53, 1, 0) * F.when(PARTKEY % 12 < 11, 1).otherwise(0)).cast("string"), (1995 + PARTKEY % 4).cast("string")),
-        "EPIKEY": F.concat_ws("-", ORDKEY, LINE, PARTKEY, SUPP, F.col("l_extendedprice")),
-        "ADMIMETH": pick(["21", "82", "11", "2C", "13"], ORDKEY), "STARTAGE": (7001 + SUPP % 3).cast("int"),
+        "TOKEN_PERSON_ID": F.concat(F.lit("T"), line("partkey")), **_episode_dates(day),
+        "MYDOB": F.concat((1 + line("partkey") % 12 + _rare(53, 1, 0) * F.when(line("partkey") % 12 < 11, 1).otherwise(0)).cast("string"), (1995 + line("partkey") % 4).cast("string")),
+        "EPIKEY": F.concat_ws("-", line("orderkey"), line("linenumber"), line("partkey"), line("suppkey"), F.col("l_extendedprice")),
+        "ADMIMETH": pick(["21", "82", "11", "2C", "13"], line("orderkey")), "STARTAGE": (7001 + line("suppkey") % 3).cast("int"),
         "EPITYPE": _rare(19, 3, 1), "CLASSPAT": _rare(17, 5, 1), "NEOCARE": _rare(13, 1, 8), "HRGNHS": _rare(23, "N03", "A01"),
-        "NUMBABY": pick(["1", "X", "", "1"], ORDKEY), "DISMETH": _rare(41, 5, 1), "BIRSTAT_1": _rare(43, 2, 1),
-        "MATAGE": F.when(LINE == 2, 99).otherwise((20 + PARTKEY % 20 + _rare(47, 1, 0)).cast("int")),
+        "NUMBABY": pick(["1", "X", "", "1"], line("orderkey")), "DISMETH": _rare(41, 5, 1), "BIRSTAT_1": _rare(43, 2, 1),
+        "MATAGE": F.when(line("linenumber") == 2, 99).otherwise((20 + line("partkey") % 20 + _rare(47, 1, 0)).cast("int")),
         "BIRORDR_1": _rare(59, "2", "X"),
-        "GESTAT_1": F.when(LINE == 1, 99).otherwise((30 + PARTKEY % 12 + _rare(37, 1, 0)).cast("int")),
-        "BIRWEIT_1": F.when(LINE == 3, 9999).when(LINE == 4, 120).otherwise((2000 + 10 * (PARTKEY % 100)).cast("int")),
-        "IMD04_DECILE": pick(IMD, PARTKEY + _rare(61, 1, 0)), "DIAG_01": pick(BIRTH_CODES, ORDKEY), "DIAG_02": extra,
+        "GESTAT_1": F.when(line("linenumber") == 1, 99).otherwise((30 + line("partkey") % 12 + _rare(37, 1, 0)).cast("int")),
+        "BIRWEIT_1": F.when(line("linenumber") == 3, 9999).when(line("linenumber") == 4, 120).otherwise((2000 + 10 * (line("partkey") % 100)).cast("int")),
+        "IMD04_DECILE": pick(IMD, line("partkey") + _rare(61, 1, 0)), "DIAG_01": pick(BIRTH_CODES, line("orderkey")), "DIAG_02": extra,
     }
-    tables = {f"HES_APC_{y}": of_year(d.lineitem, "l_shipdate", y).select(*_with_blank_codes(cols)) for y in TERMS}
+    rows = d.lineitem.select(*_with_blank_codes(cols), "l_shipdate")
+    tables = {f"HES_APC_{y}": of_year(rows, "l_shipdate", y).drop("l_shipdate") for y in TERMS}
     return tables | {"bridging": _bridge(d)}
 
 
