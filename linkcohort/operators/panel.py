@@ -71,15 +71,12 @@ def around_event(
 
 def collapse_sum(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sum several enrolments into one row per key; a missing value counts as 0."""
-    return df.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
+    return df.groupBy(*keys).agg(*[F.expr(f"coalesce(sum(`{m}`), 0) AS `{m}`") for m in measures])
 
 
 def annualise(df: DataFrame, stems: Sequence[str], terms: Sequence[str], suffix: str = "annual") -> DataFrame:
     """``<stem>_annual`` as the sum of ``<stem>_<term>``, missing terms as 0."""
-    totals = {}
-    for s in stems:
-        parts = [F.coalesce(F.col(f"{s}_{t}"), F.lit(0)) for t in terms]
-        totals[f"{s}_{suffix}"] = sum(parts[1:], parts[0])
+    totals = {f"{s}_{suffix}": F.expr(" + ".join(f"coalesce(`{s}_{t}`, 0)" for t in terms)) for s in stems}
     return df.withColumns(totals).drop(*[f"{s}_{t}" for s in stems for t in terms])
 
 

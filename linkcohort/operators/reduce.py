@@ -206,18 +206,39 @@ def dense_rank_in(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     return df.join(ranked, on, "left").drop("_k", "_v")
 
 
-def number_rows(df: DataFrame, key: str, date: str, order_by: Sequence[str], out: str) -> DataFrame:
-    """1, 2, 3, … within each key by (date, order_by).
+def number_rows(df: DataFrame, key: str, date: str, order_by: str, out: str, cells: int = 1024) -> DataFrame:
+    """1, 2, 3, … within each key by date, then by a whole-number column.
 
-    Numbers each (key, date) on its own and adds the rows of earlier dates, so no
-    task sees more of a key than one date of it.
+    Rows are numbered within cells, to which the rows of earlier cells are added:
+    each date of a key is cut into up to ``cells`` equal ranges of ``order_by``. So
+    a key, or one day of it, however large, is shared among tasks. Where only the
+    first row is wanted, :func:`first_per` does far less.
     """
-    days = df.groupBy(F.col(key).alias("_k"), F.col(date).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    on = F.col(key).eqNullSafe(F.col("_k")) & F.col(date).eqNullSafe(F.col("_d"))
-    within = F.row_number().over(Window.partitionBy(key, date).orderBy(*order_by))
-    return df.join(days, on, "left").withColumn(out, (F.col("_before") + within).cast("int")).drop("_k", "_d", "_n", "_before")
+    per_day = df.groupBy(F.col(key).alias("_k"), F.col(date).alias("_d")).agg(
+        F.min(order_by).alias("_lo"), F.max(order_by).alias("_hi")
+    )
+    same_day = F.col(key).eqNullSafe(F.col("_k")) & F.col(date).eqNullSafe(F.col("_d"))
+    width = F.col("_hi") - F.col("_lo") + 1
+    rows = df.join(per_day, same_day, "left").withColumn(
+        "_cell", F.floor((F.col(order_by) - F.col("_lo")) * F.least(width, F.lit(cells)) / width)
+    ).drop("_k", "_d", "_lo", "_hi")
+
+    counts = rows.groupBy(F.col(key).alias("_k"), F.col(date).alias("_d"), F.col("_cell").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    days = counts.groupBy("_k", "_d").agg(F.sum("_n").alias("_n"))
+    earlier = Window.partitionBy("_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(
+        F.col("_k").alias("_dk"), F.col("_d").alias("_dd"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_days")
+    )
+    lower = Window.partitionBy("_k", "_d").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_below", F.coalesce(F.sum("_n").over(lower), F.lit(0)))
+    offsets = counts.join(days, F.col("_k").eqNullSafe(F.col("_dk")) & F.col("_d").eqNullSafe(F.col("_dd"))).select(
+        "_k", "_d", "_c", (F.col("_days") + F.col("_below")).alias("_before")
+    )
+    same_cell = same_day & F.col("_cell").eqNullSafe(F.col("_c"))
+    within = F.row_number().over(Window.partitionBy(key, date, "_cell").orderBy(order_by))
+    return rows.join(offsets, same_cell, "left").withColumn(out, (F.col("_before") + within).cast("int")).drop(
+        "_k", "_d", "_c", "_cell", "_before"
+    )
 
 
 def run_id(df: DataFrame, key: str, date: str, value: str, out: str) -> DataFrame:

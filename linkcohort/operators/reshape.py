@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,7 +29,5 @@ def dcast(
 
     One value per cell is expected; if there are several the largest is taken.
     """
-    cell: list[Column] = [
-        F.max(F.when(F.col(by) == b, F.col(v))).alias(f"{v}_{b}") for v in values for b in by_values
-    ]
-    return df.groupBy(*keys).agg(*cell)
+    here = {b: F.col(by) == b for b in by_values}
+    return df.groupBy(*keys).agg(*[F.max(F.when(here[b], F.col(v))).alias(f"{v}_{b}") for v in values for b in by_values])

@@ -72,7 +72,7 @@ def test_rank_number_and_runs(spark):
     data = [("a", D(2020, 1, 1), 1, "x"), ("a", D(2020, 1, 1), 2, "x"), ("a", D(2020, 1, 2), 1, "y"), ("a", D(2020, 1, 5), 1, "y"), ("b", D(2020, 1, 9), 1, "x")]
     df = spark.createDataFrame(data, "id string, d date, n int, v string")
     assert [r[-1] for r in rows(op.dense_rank_in(df, "id", "d", "r"))] == [1, 1, 2, 3, 1]
-    assert [r[-1] for r in rows(op.number_rows(df, "id", "d", ["n"], "r"))] == [1, 2, 3, 4, 1]
+    assert [r[-1] for r in rows(op.number_rows(df, "id", "d", "n", "r"))] == [1, 2, 3, 4, 1]
     assert [r[-1] for r in rows(op.run_id(df, "id", "d", "v", "r"))] == [1, 1, 2, 2, 1]
 
 

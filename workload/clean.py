@@ -120,4 +120,5 @@ SELECT l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate, l_orderkey, l_linen
 """)
 def q_sorted(d: Data):
     rows = d.lineitem.select("l_returnflag", F.col("l_shipdate").cast("date").alias("l_shipdate"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return rows.orderBy("l_returnflag", "l_shipdate")
+    # the further columns break ties, and let one hot (flag, day) spread over ranges
+    return rows.orderBy("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

@@ -191,7 +191,7 @@ FROM orders
 """)
 def q_row_number(d: Data):
     rows = d.orders.withColumn("day", F.col("o_orderdate").cast("date"))
-    return number_rows(rows, "o_custkey", "day", ["o_orderkey"], "order_n").select("o_orderkey", "o_custkey", "order_n")
+    return number_rows(rows, "o_custkey", "day", "o_orderkey", "order_n").select("o_orderkey", "o_custkey", "order_n")
 
 
 @case("""

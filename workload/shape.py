@@ -55,27 +55,40 @@ def okey() -> Column:
     return F.col("o_orderkey")
 
 
-def _census(d: Data, year: int) -> DataFrame:
-    s = f"{TERMS[year][:3].upper()}{year % 100:02d}"
+def yearly(rows: DataFrame, date: str, year: int, suffix: str = "", without: tuple[str, ...] = ()) -> DataFrame:
+    """One year's extract of a source, its columns renamed the way that year names them."""
+    df = of_year(rows, date, year).drop(date, *without)
+    return df.toDF(*[f"{c}{suffix}" for c in df.columns])
+
+
+def _school_year(date: str) -> Column:
+    return F.concat_ws("/", F.year(date) - 1, F.year(date))
+
+
+def _census(d: Data) -> dict[str, DataFrame]:
     nc = okey() % 9
-    cols = {
-        "PupilMatchingRefAnonymous": F.concat(F.lit("P"), F.col("o_custkey")),
-        "AgeAtStartOfAcademicYear": (4 + okey() % 10).cast("string"),
-        "MonthPartOfAgeAtStartOfAcademicYear": okey() % 12,
-        "NCyearActual": F.when(nc == 0, "R").when(nc == 8, "X").otherwise(nc.cast("string")),
-        "AcademicYear": F.lit(f"{year - 1}/{year}"),
-        "Gender": pick(GENDER, okey()),
-        "EthnicGroupMajor": pick(ETHNICITY, F.floor(okey() / 3)),
-        "LanguageGroupMajor": pick(LANGUAGE, F.floor(okey() / 4)),
-        "YearOfBirth": (1984 + okey() % 2 + F.col("o_custkey") % 2).cast("int"),
-        "MonthOfBirth": (1 + F.col("o_custkey") % 12).cast("int"),
-        "FSMeligible": F.when(F.col("o_totalprice") > 400000, 1).when(F.col("o_totalprice") > 50000, 0),
-        "IDACI_Decile": (1 + okey() % 10).cast("int"),
-        "SENprovision": pick(SEN, F.floor(okey() / 2)),
+    rows = d.orders.select(
+        F.concat(F.lit("P"), F.col("o_custkey")).alias("PupilMatchingRefAnonymous"),
+        (4 + okey() % 10).cast("string").alias("AgeAtStartOfAcademicYear"),
+        (okey() % 12).alias("MonthPartOfAgeAtStartOfAcademicYear"),
+        F.when(nc == 0, "R").when(nc == 8, "X").otherwise(nc.cast("string")).alias("NCyearActual"),
+        _school_year("o_orderdate").alias("AcademicYear"),
+        pick(GENDER, okey()).alias("Gender"),
+        pick(ETHNICITY, F.floor(okey() / 3)).alias("EthnicGroupMajor"),
+        pick(LANGUAGE, F.floor(okey() / 4)).alias("LanguageGroupMajor"),
+        (1984 + okey() % 2 + F.col("o_custkey") % 2).cast("int").alias("YearOfBirth"),
+        (1 + F.col("o_custkey") % 12).cast("int").alias("MonthOfBirth"),
+        F.when(F.col("o_totalprice") > 400000, 1).when(F.col("o_totalprice") > 50000, 0).alias("FSMeligible"),
+        (1 + okey() % 10).cast("int").alias("IDACI_Decile"),
+        pick(SEN, F.floor(okey() / 2)).alias("SENprovision"),
+        "o_orderdate",
+    )
+    return {
+        f"{t}_Census_{y}": yearly(
+            rows, "o_orderdate", y, f"_{t[:3].upper()}{y % 100:02d}", ("EthnicGroupMajor",) if y in (1997, 1998) else ()
+        )
+        for y, t in TERMS.items()
     }
-    if year in (1997, 1998):
-        del cols["EthnicGroupMajor"]
-    return of_year(d.orders, "o_orderdate", year).select(*[c.alias(f"{n}_{s}") for n, c in cols.items()])
 
 
 CENSUS = f"""census AS (SELECT 'P' || o_custkey AS pmr, CAST(year(o_orderdate) AS INTEGER) AS cy, 4 + o_orderkey % 10 AS age,
@@ -132,25 +145,20 @@ BRIDGE = """bridge AS (SELECT 'P' || o_custkey AS pmr, CASE WHEN o_orderkey % 11
 
 
 def census_tables(d: Data) -> dict[str, DataFrame]:
-    tables = {f"{t}_Census_{y}": _census(d, y) for y, t in TERMS.items()}
-    return tables | {"AP_Census_1990_to_2001": _ap(d), "PRU_Census_1997": _pru(d), "bridging": _bridge(d)}
-
-
-CATEGORY = {"F": "PERM", "O": "FIXD", "P": "LNCH"}
+    return _census(d) | {"AP_Census_1990_to_2001": _ap(d), "PRU_Census_1997": _pru(d), "bridging": _bridge(d)}
 
 
 def exclusion_tables(d: Data) -> dict[str, DataFrame]:
     status = F.col("o_orderstatus")
-    return {
-        f"Exclusions_{y}": of_year(d.orders, "o_orderdate", y).select(
-            F.concat(F.lit("P"), F.col("o_custkey")).alias(f"PupilMatchingRefAnonymous_ex{y % 100:02d}"),
-            F.lit(f"{y - 1}/{y}").alias(f"AcademicYear_ex{y % 100:02d}"),
-            F.when(status == "F", "PERM").when(status == "O", "FIXD").otherwise("LNCH").alias(f"Category_ex{y % 100:02d}"),
-            (okey() % 10).cast("int").alias(f"Sessions_ex{y % 100:02d}"),
-            F.col("o_orderdate").cast("date").alias(f"StartDate_ex{y % 100:02d}"),
-        )
-        for y in range(1996, 2002)
-    }
+    rows = d.orders.select(
+        F.concat(F.lit("P"), F.col("o_custkey")).alias("PupilMatchingRefAnonymous"),
+        _school_year("o_orderdate").alias("AcademicYear"),
+        F.when(status == "F", "PERM").when(status == "O", "FIXD").otherwise("LNCH").alias("Category"),
+        (okey() % 10).cast("int").alias("Sessions"),
+        F.col("o_orderdate").cast("date").alias("StartDate"),
+        "o_orderdate",
+    )
+    return {f"Exclusions_{y}": yearly(rows, "o_orderdate", y, f"_ex{y % 100:02d}") for y in range(1996, 2002)}
 
 
 EXCLUSIONS = """excl AS (SELECT e.*, s.y7_year, CAST(e.academicyear - (s.y7_year - 7) AS INTEGER) AS year FROM (
@@ -166,16 +174,14 @@ ABSENCE_TERMS = ["Autumn", "Spring", "Summer", "Summer6th"]
 
 
 def absence_tables(d: Data) -> dict[str, DataFrame]:
-    out = {}
-    for y in range(1996, 2002):
-        s = f"ab{y % 100:02d}"
-        cols = [F.concat(F.lit("P"), F.col("o_custkey")).alias(f"PupilMatchingRefAnonymous_{s}"), F.lit(f"{y - 1}/{y}").alias(f"AcademicYear_{s}")]
-        for stem, m in ABSENCE.items():
-            for i, term in enumerate(ABSENCE_TERMS):
-                value = ((okey() + i) % m + (20 if m == 30 else 0)).cast("int")
-                cols.append((F.when(okey() % 4 != 0, value) if i == 3 else value).alias(f"{stem}_{term}_{s}"))
-        out[f"Absence_{y}"] = of_year(d.orders, "o_orderdate", y).select(*cols)
-    return out
+    cols = [F.concat(F.lit("P"), F.col("o_custkey")).alias("PupilMatchingRefAnonymous"), _school_year("o_orderdate").alias("AcademicYear")]
+    for stem, m in ABSENCE.items():
+        for i, term in enumerate(ABSENCE_TERMS):
+            value = f"CAST((o_orderkey + {i}) % {m} + {20 if m == 30 else 0} AS INT)"
+            value = f"CASE WHEN o_orderkey % 4 <> 0 THEN {value} END" if i == 3 else value
+            cols.append(F.expr(f"{value} AS {stem}_{term}"))
+    rows = d.orders.select(*cols, "o_orderdate")
+    return {f"Absence_{y}": yearly(rows, "o_orderdate", y, f"_ab{y % 100:02d}") for y in range(1996, 2002)}
 
 
 def _absence_sum(m: int) -> str:
@@ -218,14 +224,13 @@ SPECIALTY, ATTENDED, FIRSTATT = ["191", "241", "100", "300"], ["5", "6", "2", "3
 
 
 def outpatient_tables(d: Data) -> dict[str, DataFrame]:
-    return {
-        f"HES_OP_{y - 6}": of_year(d.orders, "o_orderdate", y).select(
-            F.concat(F.lit("T"), F.col("o_custkey")).alias("TOKEN_PERSON_ID"),
-            F.date_sub(F.col("o_orderdate").cast("date"), SHIFT).cast("string").alias("APPTDATE"),
-            pick(FIRSTATT, okey()).alias("FIRSTATT"), pick(ATTENDED, okey()).alias("ATTENDED"), pick(SPECIALTY, okey()).alias("TRETSPEF"),
-        )
-        for y in TERMS
-    }
+    rows = d.orders.select(
+        F.concat(F.lit("T"), F.col("o_custkey")).alias("TOKEN_PERSON_ID"),
+        F.date_sub(F.col("o_orderdate").cast("date"), SHIFT).cast("string").alias("APPTDATE"),
+        pick(FIRSTATT, okey()).alias("FIRSTATT"), pick(ATTENDED, okey()).alias("ATTENDED"), pick(SPECIALTY, okey()).alias("TRETSPEF"),
+        "o_orderdate",
+    )
+    return {f"HES_OP_{y - 6}": yearly(rows, "o_orderdate", y) for y in TERMS}
 
 
 CONTACTS = f"""contacts AS (SELECT c.*, s.y7_year FROM (SELECT DISTINCT 'T' || o_custkey AS tpid, CAST(o_orderdate AS DATE) - {SHIFT} AS apptdate,
@@ -292,8 +297,8 @@ DIAG3_SQL = f"""{pick_sql(CODES, 'l_orderkey + l_linenumber')} AS d1, {pick_sql(
 
 
 def _with_blank_codes(cols: dict[str, Column]) -> list[Column]:
-    blanks = {c.upper(): F.lit("") for c in [*DIAG, *OPERTN]}
-    return [c.alias(n) for n, c in {**blanks, **cols}.items()]
+    blanks = [F.expr(f"'' AS {c.upper()}") for c in [*DIAG, *OPERTN] if c.upper() not in cols]
+    return [*[c.alias(n) for n, c in cols.items()], *blanks]
 
 
 def episode_tables(d: Data) -> dict[str, DataFrame]:
@@ -303,7 +308,7 @@ def episode_tables(d: Data) -> dict[str, DataFrame]:
         "STARTAGE": F.when(line("linenumber") == 1, 7001).otherwise((line("suppkey") % 18).cast("int")), **_diag3(), "OPERTN_01": pick(OPS, line("suppkey")),
     }
     rows = d.lineitem.select(*_with_blank_codes(cols), "l_shipdate")
-    return {f"HES_APC_{y - 6}": of_year(rows, "l_shipdate", y).drop("l_shipdate") for y in TERMS}
+    return {f"HES_APC_{y - 6}": yearly(rows, "l_shipdate", y) for y in TERMS}
 
 
 CHRONIC = [("E10", "", "metabolic"), ("J45", "LOS3", "respiratory"), ("J45.0", "AGE10", "asthma"), ("F20", "", "mental")]
@@ -389,7 +394,7 @@ def birth_tables(d: Data) -> dict[str, DataFrame]:
         "IMD04_DECILE": pick(IMD, line("partkey") + _rare(61, 1, 0)), "DIAG_01": pick(BIRTH_CODES, line("orderkey")), "DIAG_02": extra,
     }
     rows = d.lineitem.select(*_with_blank_codes(cols), "l_shipdate")
-    tables = {f"HES_APC_{y}": of_year(rows, "l_shipdate", y).drop("l_shipdate") for y in TERMS}
+    tables = {f"HES_APC_{y}": yearly(rows, "l_shipdate", y) for y in TERMS}
     return tables | {"bridging": _bridge(d)}
 
 
