@@ -79,10 +79,12 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
 
     Only rows that match a list reach the episode aggregate.
     """
-    urgent = emergency.select(F.col("code").alias("admimeth")).distinct().withColumn("_urgent", F.lit(True))
-    rows = long.join(urgent, "admimeth", "left")
+    # a key that cannot be NULL adds no filter below, so both uses share one read
+    long = long.withColumn("_method", F.coalesce("admimeth", F.lit("")))
+    urgent = emergency.select(F.col("code").alias("_method")).distinct().withColumn("_urgent", F.lit(True))
+    rows = long.join(urgent, "_method", "left")
     rows = rows.filter(F.col("_urgent") | (F.col("code_type") == "opertn"))
-    diag = long.filter(F.col("code_type") == "diag").join(urgent, "admimeth", "left_semi")
+    diag = long.filter(F.col("code_type") == "diag").join(urgent, "_method", "left_semi")
 
     entries = presentation_entries(codes, medical)
     marked = rows
