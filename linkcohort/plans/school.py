@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkcohort.config import ABSENCE_STEMS, ABSENCE_TERMS, Config
@@ -50,10 +52,10 @@ def exclusions(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
     return school_year_panel(rows, spine, "pmr", "academicyear", 7, 11)
 
 
-def exclusion_kinds(rows: DataFrame, fixed_term: list[str], permanent: list[str]) -> dict:
+def exclusion_kinds(fixed_term: Sequence[str], permanent: Sequence[str]) -> dict[str, Column]:
     """Conditions that split exclusions into fixed-term and permanent."""
     category = F.col("exclusion_category")
-    return {"ever_fixed_term": category.isin(fixed_term), "ever_permanent": category.isin(permanent)}
+    return {"ever_fixed_term": category.isin(list(fixed_term)), "ever_permanent": category.isin(list(permanent))}
 
 
 def absence_rows(tables: Tables, cfg: Config) -> DataFrame:

@@ -46,3 +46,10 @@ UNION ALL SELECT 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority IS NU
 """)
 def q_missingness(d: Data):
     return missingness(_nulled(d), ["o_orderstatus", "o_orderpriority"])
+
+
+@case("SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100")
+def q_first_rows(d: Data):
+    """The first rows in a stated order: a top-k, not a full sort."""
+    rows = d.orders.orderBy("o_orderdate", "o_orderkey").limit(100)
+    return rows.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))

@@ -5,6 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from linkcohort.config import ETHNIC_GROUPS
+from linkcohort.operators import exists_summary, flags_by_group
 from linkcohort.plans import births, care, demographics, phenotypes, school, spines
 from linkcohort.plans.census import census_rows
 from linkcohort.plans.combine import combine
@@ -201,6 +202,21 @@ def q_presentations(d: Data):
     return phenotypes.presentations(_long(d), codes, medical, emergency)
 
 
+@case(f"""
+{HOSPITAL}, {s.CHRONIC_SQL}, f AS (SELECT tpid, {', '.join(f"coalesce(bool_or(grp = '{g}' AND epistart >= DATE '1992-01-01' AND epistart < DATE '1994-01-01'), FALSE) AS chc_{g}"
+  for g in ('metabolic', 'respiratory', 'asthma', 'mental'))} FROM chronic GROUP BY 1)
+SELECT s.pmr, s.tpid, {', '.join(f"CASE WHEN s.tpid IS NOT NULL THEN coalesce(chc_{g}, FALSE) END AS chc_{g}" for g in ('metabolic', 'respiratory', 'asthma', 'mental'))}
+FROM spine s LEFT JOIN f ON f.tpid = s.tpid
+""")
+def q_phenotype_flags(d: Data):
+    """One flag per condition group, counting a range of dates only."""
+    codes = phenotypes.chronic_conditions(_long(d), s.phenotype_lists(d)[0], s.CONFIG.chronic_label)
+    dated = (F.col("epistart") >= F.lit("1992-01-01").cast("date")) & (F.col("epistart") < F.lit("1994-01-01").cast("date"))
+    return flags_by_group(
+        s.spine(d).select("pmr", "tpid"), codes, "tpid", "group", ["metabolic", "respiratory", "asthma", "mental"], "chc_", dated
+    )
+
+
 # Panels ----------------------------------------------------------------------
 
 ENROL = f"""enrol AS (SELECT e.*, s.y7_year, CAST(e.academicyear - (s.y7_year - 7) AS INTEGER) AS year FROM (
@@ -219,6 +235,25 @@ def q_exclusions(d: Data):
     return school.exclusions(s.exclusion_tables(d), s.CONFIG, s.spine(d))
 
 
+@case(f"""
+WITH {s.SPINE}, {s.EXCLUSIONS} SELECT pmr, bool_or(exclusion_category IN ('FIXD', 'LNCH')) AS ever_fixed_term, bool_or(exclusion_category = 'PERM') AS ever_permanent
+FROM excl GROUP BY 1
+""")
+def q_exclusion_kinds(d: Data):
+    rows = school.exclusions(s.exclusion_tables(d), s.CONFIG, s.spine(d))
+    return exists_summary(rows, "pmr", school.exclusion_kinds(["FIXD", "LNCH"], ["PERM"]))
+
+
+@case(f"""
+WITH {s.SPINE}, {s.ABSENCE_SQL} SELECT *, abs_illness_rate >= 10 AS pa10_illness, abs_illness_appts_rate >= 10 AS pa10_health FROM absence
+""")
+def q_absence_other_flags(d: Data):
+    """Persistent absence for reasons other than the overall rate."""
+    panel = school.school_year_panel(school.absence_rows(s.absence_tables(d), s.CONFIG), s.spine(d), "pmr", "academicyear", 7, 11)
+    flags = {"pa10_illness": "abs_illness_rate", "pa10_health": "abs_illness_appts_rate"}
+    return school.absence_rates(school.annual_absence(panel, s.CONFIG), s.CONFIG, flags)
+
+
 @case(f"WITH {s.SPINE}, {s.ABSENCE_SQL} SELECT * FROM absence")
 def q_absence(d: Data):
     return school.absence(s.absence_tables(d), s.CONFIG, s.spine(d))
