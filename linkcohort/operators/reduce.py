@@ -50,12 +50,12 @@ def modal(
 ) -> DataFrame:
     """Most frequent non-NULL value of each column per key; NULL if there is none.
 
-    ties: ``smallest`` value; ``hash`` picks pseudo-randomly but repeatably from
-    ``seed``; ``last`` falls back to the key's last non-NULL value by ``order_by``.
+    ties: ``smallest`` value; ``hash`` draws by the MD5 of key, value and ``seed``,
+    so repeatably and alike on any engine; ``last`` falls back to the key's last non-NULL value by ``order_by``.
 
-    One pass counts (key, value) for all columns at once with grouping sets, so
-    what reaches the second aggregate is one row per distinct value, however
-    many rows a key has.
+    Rows are first counted by key and all values together, of which a key has few
+    combinations; grouping sets then give the counts of each column's values, and
+    a last aggregate picks. Each step is partial before its shuffle.
     """
     if ties not in ("smallest", "hash", "last"):
         raise ValueError(f"unknown tie rule {ties!r}")
@@ -64,16 +64,20 @@ def modal(
     src = df.select(F.col(key), *[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)],
                     *([F.struct(*order_by).alias("_at")] if ties == "last" else []))
     vals = [f"_v{i}" for i in range(len(cols))]
-    measures = [F.count(F.lit(1)).alias("_n"), *[F.grouping(v).alias(f"_g{v}") for v in vals]]
-    if ties == "last":
-        measures.append(F.max("_at").alias("_at"))
-    counted = src.groupingSets([[key, v] for v in vals], key, *vals).agg(*measures)
+    last_seen = [F.max("_at").alias("_at")] if ties == "last" else []
+    counted = src.groupBy(key, *vals).agg(F.count(F.lit(1)).alias("_n"), *last_seen)
+    if len(vals) == 1:
+        counted = counted.withColumn(f"_g{vals[0]}", F.lit(0))
+    else:
+        groups = [F.grouping(v).alias(f"_g{v}") for v in vals]
+        counted = counted.groupingSets([[key, v] for v in vals], key, *vals).agg(F.sum("_n").alias("_n"), *last_seen, *groups)
 
     def pick(v: str) -> Column:
         here = (F.col(f"_g{v}") == 0) & F.col(v).isNotNull()
         n = F.col("_n")
         if ties == "hash":
-            rank = F.struct((-n).alias("n"), F.xxhash64(F.col(key), F.col(v), F.lit(seed)).alias("h"), F.col(v).alias("v"))
+            draw = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(v).cast("string"), F.lit(str(seed))))
+            rank = F.struct((-n).alias("n"), draw.alias("h"), F.col(v).alias("v"))
             return F.min(F.when(here, rank))["v"]
         low = F.min(F.when(here, F.struct((-n).alias("n"), F.col(v).alias("v"))))["v"]
         if ties == "smallest":

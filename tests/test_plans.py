@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from linkcohort.operators import first_per, match_codes, modal
+from linkcohort.operators import attach, first_per, match_codes, modal
 from linkcohort.sources import codelist
 from tests.conftest import SMALL
 
@@ -33,8 +33,21 @@ def test_first_per_limits_each_key_before_the_shuffle(spark):
 
 def test_modal_counts_before_the_shuffle(spark):
     text = plan(modal(orders(spark), "o_custkey", ["o_orderpriority", "o_orderstatus"]))
-    assert "partial_count" in text and len(re.findall("Exchange", text)) == 2
+    assert "partial_count" in text and len(re.findall("Exchange", text)) == 3
     assert "o_totalprice" not in text
+    one = plan(modal(orders(spark), "o_custkey", ["o_orderpriority"]))
+    assert len(re.findall("Exchange", one)) == 2
+
+
+def test_spine_is_exchanged_once_per_identifier(spark):
+    people = spark.read.parquet(f"{SMALL}/customer.parquet").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    parts = [orders(spark).groupBy("o_custkey").agg(F.max(c).alias(c)) for c in ("o_totalprice", "o_orderdate", "o_orderkey")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(attach(people, "o_custkey", *parts))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1 + len(parts)
 
 
 def test_codelists_are_broadcast_by_their_size(spark):

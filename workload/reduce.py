@@ -72,7 +72,11 @@ def q_modal_last(d: Data):
     return modal(_nulled(d), "o_custkey", ["o_orderpriority"], "last", ORDER)
 
 
-@case()
+@case(f"""
+WITH o AS ({NULLED}), n AS (SELECT o_custkey, o_orderpriority AS v, count(*) AS n FROM o WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, md5(concat_ws('|', o_custkey, v, 100)), v) AS rn FROM n)
+SELECT k.o_custkey, r.v AS o_orderpriority FROM (SELECT DISTINCT o_custkey FROM o) k LEFT JOIN r ON r.o_custkey = k.o_custkey AND r.rn = 1
+""")
 def q_modal_hash(d: Data):
     return modal(_nulled(d), "o_custkey", ["o_orderpriority"], "hash", seed=100)
 
