@@ -82,4 +82,5 @@ class Study:
         """Write the spine, then each module, then the combined dataset; return that."""
         spine = self.save(self.spine(), SPINE)
         parts = {n: self.save(df, n) for n, df in self.modules(spine).items()}
-        return self.save(combine(spine, parts, self.config), FINAL)
+        # the hospital id shares out people without a pupil id among the sorted files
+        return self.save(combine(spine, parts, self.config).orderBy("pmr", "y7_year", "tpid"), FINAL)

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Most codes a codelist may hold before it is treated as a table rather than as
 # constants in an expression. The ICD-10 and OPCS-4 code spaces are smaller.
@@ -46,8 +47,7 @@ def read_csv_module(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """
     raw = spark.read.option("header", True).csv(path)
     raw = raw.toDF(*[c.lower() for c in raw.columns])
-    want = spark.createDataFrame([], schema).schema
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in want])
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema)])
 
 
 def write_table(
