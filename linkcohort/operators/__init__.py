@@ -1,5 +1,5 @@
 from linkcohort.operators.checks import missingness, tabulate, uniqueness, violating, violations
-from linkcohort.operators.codes import any_code, in_codelist, match_codes, melt_codes, pack_codes, unpack_codes
+from linkcohort.operators.codes import any_code, any_codes, match_codes, melt_codes, pack_codes, unpack_codes
 from linkcohort.operators.link import (
     add_new_members, attach, eligibility, exists_summary, fill_from, flag_by_lookup,
     flag_exists, flags_by_group, link, linkage_report, restrict_to,
@@ -16,10 +16,10 @@ from linkcohort.operators.reshape import dcast, melt
 from linkcohort.operators.spells import join_spells, los_nights, repair_dates, spell_bounds
 
 __all__ = [
-    "add_new_members", "annualise", "any_code", "any_in_group", "around_event", "attach",
+    "add_new_members", "annualise", "any_code", "any_codes", "any_in_group", "around_event", "attach",
     "collapse_sum", "dcast", "dense_rank_in", "eligibility", "ever", "exists_summary",
     "fill_from", "first_date", "first_per", "flag_by_lookup", "flag_exists", "flags_by_group",
-    "highest", "in_codelist", "join_spells", "latest", "link", "linkage_report", "los_nights",
+    "highest", "join_spells", "latest", "link", "linkage_report", "los_nights",
     "match_codes", "melt", "melt_codes", "missingness", "modal", "number_rows", "pack_codes", "pooled_modal",
     "rate", "rates", "repair_dates", "resolve", "restrict_to", "run_id", "school_year_panel",
     "spell_bounds", "tabulate", "uniqueness", "unpack_codes", "violating", "violations", "with_year7",

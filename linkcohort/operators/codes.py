@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkcohort.operators.reshape import melt
-from linkcohort.sources.files import MAX_CODES, bounded_codes
 
 SEPARATOR = "\u0001"  # between packed codes; no coding system uses it
 
@@ -83,40 +83,32 @@ def match_codes(
     return out.select(*df.columns, matched, *[F.col("_row")[a].alias(a) for a in attrs])
 
 
-def in_codelist(code: Column, codes: Sequence[str], lengths: Sequence[int] = (3, 4)) -> Column:
-    """Whether the code's first k characters are an entry of length k, for any k."""
-    test = F.lit(False)
-    for k in lengths:
-        entries = [c for c in codes if len(c) == k]
-        if entries:
-            test = test | F.substring(code, 1, k).isin(entries)
-    return F.coalesce(test, F.lit(False))
+def any_codes(
+    df: DataFrame, packed: str, lists: Mapping[str, tuple[DataFrame, Sequence[int]]], keys: Sequence[str]
+) -> DataFrame:
+    """Flag rows having any code of each list among their packed codes.
+
+    ``lists`` gives for each flag the codelist and the lengths at which an entry is
+    compared with the beginning of a code. Codes are expanded once and joined to
+    the entries by equality, however many there are; only hits are kept, and
+    a flag applies to every row that shares ``keys``, a missing key being a key.
+    """
+    tagged = [codes.select(F.lit(n).alias("_list"), F.col("code").alias("_c")).filter(F.length("_c").isin(list(k))) for n, (codes, k) in lists.items()]
+    entries = reduce(DataFrame.unionByName, tagged).groupBy("_c").agg(*[F.bool_or(F.col("_list") == n).alias(f"_in_{n}") for n in lists])
+    codes = df.select(*keys, F.explode(F.array_distinct(F.split(packed, SEPARATOR))).alias("_code")).filter("_code != ''")
+    found = []
+    for k in sorted({k for _, lengths in lists.values() for k in lengths}):
+        side = entries.filter(F.length("_c") == k)
+        found.append(codes.join(side, F.substring("_code", 1, k) == F.col("_c")).select(*keys, *[f"_in_{n}" for n in lists]))
+    hits = reduce(DataFrame.unionByName, found).groupBy(*[F.col(c).alias(f"_key_{c}") for c in keys])
+    hits = hits.agg(*[F.bool_or(f"_in_{n}").alias(f"_in_{n}") for n in lists])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys])
+    out = df.join(hits, same, "left").withColumns({n: F.coalesce(f"_in_{n}", F.lit(False)) for n in lists})
+    return out.select(*df.columns, *lists)
 
 
 def any_code(
-    df: DataFrame,
-    out: str,
-    packed: str,
-    codes: DataFrame,
-    keys: Sequence[str],
-    lengths: Sequence[int] = (3, 4),
-    max_codes: int = MAX_CODES,
+    df: DataFrame, out: str, packed: str, codes: DataFrame, keys: Sequence[str], lengths: Sequence[int] = (3, 4)
 ) -> DataFrame:
-    """Flag rows having any code of the list among their packed codes.
-
-    A codelist of ordinary size becomes constants tested in place, which costs no
-    shuffle and no long form. A larger one is semi-joined to the long form, and
-    the flag applies to every row sharing ``keys``.
-    """
-    listed = bounded_codes(codes, max_codes)
-    if listed is not None:
-        return df.withColumn(out, F.exists(F.split(packed, SEPARATOR), lambda c: in_codelist(c, listed, lengths)))
-    long = unpack_codes(df, keys, packed, {"code": 1}, truncate=None)
-    hits = None
-    for k in lengths:
-        side = codes.filter(F.length("code") == k).select(F.col("code").alias("_c"))
-        found = long.join(side, F.substring("code", 1, k) == F.col("_c"), "left_semi").select(*keys)
-        hits = found if hits is None else hits.unionByName(found)
-    return df.join(hits.distinct().withColumn(out, F.lit(True)), list(keys), "left").withColumn(
-        out, F.coalesce(F.col(out), F.lit(False))
-    )
+    """:func:`any_codes` for one list."""
+    return any_codes(df, packed, {out: (codes, lengths)}, keys)

@@ -199,11 +199,14 @@ def pooled_modal(frames: Sequence[DataFrame], key: str, cols: Sequence[str], **h
 
 
 def dense_rank_in(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Dense rank of a value within its key, on every row.
+    """Dense rank of a date within its key, on every row.
 
-    Ranks the distinct values only, then joins back: for a date column the
-    ranked group is bounded by the calendar, not by the rows of the key.
+    Ranks the distinct dates only, then joins back: the ranked group is bounded by
+    the calendar, not by the rows of the key. Other types have no such bound and
+    are an error.
     """
+    if df.schema[value].dataType.typeName() != "date":
+        raise ValueError(f"{value!r} is no date, so the number of its values has no bound")
     seen = df.select(F.col(key).alias("_k"), F.col(value).alias("_v")).distinct()
     ranked = seen.withColumn(out, F.dense_rank().over(Window.partitionBy("_k").orderBy("_v")))
     on = F.col(key).eqNullSafe(F.col("_k")) & F.col(value).eqNullSafe(F.col("_v"))
@@ -218,26 +221,19 @@ def number_rows(df: DataFrame, key: str, date: str, order_by: str, out: str, cel
     a key, or one day of it, however large, is shared among tasks. Where only the
     first row is wanted, :func:`first_per` does far less.
     """
+    whole = "decimal(38,0)"  # differences of 64-bit numbers, times the cells, stay within it
     per_day = df.groupBy(F.col(key).alias("_k"), F.col(date).alias("_d")).agg(
-        F.min(order_by).alias("_lo"), F.max(order_by).alias("_hi")
+        F.min(order_by).cast(whole).alias("_lo"), F.max(order_by).cast(whole).alias("_hi")
     )
     same_day = F.col(key).eqNullSafe(F.col("_k")) & F.col(date).eqNullSafe(F.col("_d"))
-    width = F.col("_hi") - F.col("_lo") + 1
-    rows = df.join(per_day, same_day, "left").withColumn(
-        "_cell", F.floor((F.col(order_by) - F.col("_lo")) * F.least(width, F.lit(cells)) / width)
-    ).drop("_k", "_d", "_lo", "_hi")
+    wide = f"least(_hi - _lo + 1, {cells})"
+    cell = F.expr(f"cast(((cast({order_by} AS {whole}) - _lo) * {wide}) div (_hi - _lo + 1) AS int)")
+    rows = df.join(per_day, same_day, "left").withColumn("_cell", cell).drop("_k", "_d", "_lo", "_hi")
 
     counts = rows.groupBy(F.col(key).alias("_k"), F.col(date).alias("_d"), F.col("_cell").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
-    days = counts.groupBy("_k", "_d").agg(F.sum("_n").alias("_n"))
-    earlier = Window.partitionBy("_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(
-        F.col("_k").alias("_dk"), F.col("_d").alias("_dd"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_days")
-    )
-    lower = Window.partitionBy("_k", "_d").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_below", F.coalesce(F.sum("_n").over(lower), F.lit(0)))
-    offsets = counts.join(days, F.col("_k").eqNullSafe(F.col("_dk")) & F.col("_d").eqNullSafe(F.col("_dd"))).select(
-        "_k", "_d", "_c", (F.col("_days") + F.col("_below")).alias("_before")
-    )
+    # days times cells of a key, however many rows they hold
+    earlier = Window.partitionBy("_k").orderBy("_d", "_c").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_k", "_d", "_c", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     same_cell = same_day & F.col("_cell").eqNullSafe(F.col("_c"))
     within = F.row_number().over(Window.partitionBy(key, date, "_cell").orderBy(order_by))
     return rows.join(offsets, same_cell, "left").withColumn(out, (F.col("_before") + within).cast("int")).drop(

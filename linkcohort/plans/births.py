@@ -14,8 +14,8 @@ from linkcohort.config import (
 from linkcohort.functions import (
     academic_year, any_true, dob_approx, inception_year, nullify, nullify_outside, parse_date, recode, september,
 )
-from linkcohort.operators import any_code, link, pack_codes, repair_dates, resolve, with_year7, within_window
-from linkcohort.sources import Tables, bounded_codes, discover, numbered, open_table, union_family
+from linkcohort.operators import any_codes, link, pack_codes, repair_dates, resolve, with_year7, within_window
+from linkcohort.sources import Tables, discover, numbered, open_table, union_family
 
 DIAG = numbered("diag", 20)
 OPERTN = numbered("opertn", 24)
@@ -52,22 +52,20 @@ def mark_births(df: DataFrame, births: DataFrame, exclusions: DataFrame) -> Data
     exclude the episode alone.
     """
     df = df.filter(F.col("startage").isin(*BIRTH_STARTAGE))
-    keys = ["tpid", "epikey"]
-    df = any_code(df, "_birth", "codes", births.filter(F.col("field") == "diag"), keys, lengths=(3,))
-    hrg = bounded_codes(births.filter(F.col("field") == "hrg")) or []
+    listed = exclusions.filter((F.col("field") == "diag") & ((F.col("group") == "stillbirth") | (F.length("code") == 4)))
+    lists = {"_birth": (births.filter(F.col("field") == "diag"), (3,)), "barred": (listed, (3, 4))}
+    df = any_codes(df, "codes", lists, ["tpid", "epikey"])
+    hrg = births.filter(F.col("field") == "hrg").select(F.col("code").alias("hrgnhs")).distinct()
+    df = df.join(hrg.withColumn("_hrg", F.lit(True)), "hrgnhs", "left")
     markers = [
         F.col("_birth"),
-        F.col("hrgnhs").isin(hrg) if hrg else F.lit(False),
+        F.col("_hrg"),
         F.col("epitype").isin(*BIRTH_EPITYPE),
         F.col("classpat") == BIRTH_CLASSPAT,
         F.col("admimeth").isin(*BIRTH_ADMIMETH),
         F.col("neocare").isin(*BIRTH_NEOCARE),
     ]
-    df = df.filter(any_true([_flag(m) for m in markers])).drop("_birth")
-    listed = exclusions.filter(
-        (F.col("field") == "diag") & ((F.col("group") == "stillbirth") | (F.length("code") == 4))
-    )
-    df = any_code(df, "barred", "codes", listed, keys)
+    df = df.filter(any_true([_flag(m) for m in markers])).drop("_birth", "_hrg")
     not_single = [
         F.col("birordr_1") > 1,
         F.col("dismeth") == STILLBORN_DISMETH,

@@ -18,17 +18,20 @@ NOT_ATTENDED = ("3", "7")
 FIRST_APPOINTMENT = ("1", "3")  # face to face or by telephone
 
 
-def outpatient_contacts(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
-    """Distinct appointments of the chosen specialties in primary school years."""
+def outpatient_contacts(tables: Tables, cfg: Config, spine: DataFrame, referred: bool = False) -> DataFrame:
+    """Distinct appointments of the chosen specialties in primary school years.
+
+    ``referred`` adds the date of the referral request, ``reqdate``.
+    """
     columns = {
         "tpid": "^token_?person_?id$", "apptdate": "^apptdate$", "firstatt": "^firstatt$",
-        "attended": "^attended$", "tretspef": "^tretspef$",
+        "attended": "^attended$", "tretspef": "^tretspef$", **({"reqdate": "^reqdate$"} if referred else {}),
     }
     names = discover(tables, cfg.outpatient_tables, cfg.hospital_years)
     rows = union_family(
         tables, names, columns, dict.fromkeys(columns, "string"), where=F.col("tretspef").isin(*cfg.specialties)
     ).drop("source_table")
-    rows = rows.withColumn("apptdate", parse_date("apptdate")).distinct()
+    rows = rows.withColumns({c: parse_date(c) for c in ("apptdate", "reqdate") if c in columns}).distinct()
     return within_school_window(rows, spine, "tpid", "apptdate", end_inclusive=cfg.window_end_inclusive)
 
 
@@ -47,17 +50,26 @@ def attendance_summary(rows: DataFrame) -> DataFrame:
 
 
 def waiting_time(rows: DataFrame, referred: str = "reqdate") -> DataFrame:
-    """Days from each person's first referral to their first attended appointment."""
-    g = rows.groupBy("tpid").agg(
-        F.min(referred).alias(referred),
-        F.min(F.when(F.col("attended").isin(*ATTENDED), F.col("apptdate"))).alias("date_first_attended"),
+    """Days from the referral of each person's first attended appointment to that appointment.
+
+    Of two appointments of a day, the earlier referral counts. Someone who attended
+    none has their first referral and no waiting time.
+    """
+    seen = F.when(F.col("attended").isin(*ATTENDED) & F.col("apptdate").isNotNull(), F.struct("apptdate", referred))
+    g = rows.groupBy("tpid").agg(F.min(seen).alias("_first"), F.min(referred).alias("_any"))
+    g = g.select(
+        "tpid", F.when(F.col("_first").isNull(), F.col("_any")).otherwise(F.col(f"_first.{referred}")).alias(referred),
+        F.col("_first.apptdate").alias("date_first_attended"),
     )
     return g.withColumn("waiting_days", waiting_days(referred, "date_first_attended"))
 
 
-def latest_referrals(cin: DataFrame, keys: list[str], snapshot: str) -> DataFrame:
-    """One row per referral: yearly snapshots repeat it, the last one is kept."""
-    return first_per(cin, keys, [F.col(snapshot).desc()])
+def latest_referrals(cin: DataFrame, keys: list[str], snapshot: str, ties: list[str]) -> DataFrame:
+    """One row per referral: yearly snapshots repeat it, the last one is kept.
+
+    Of several rows of one snapshot, the first by the columns ``ties``.
+    """
+    return first_per(cin, keys, [F.col(snapshot).desc(), *ties])
 
 
 def social_care(cin: DataFrame, cla: DataFrame, cfg: Config, spine: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def modal_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFra
 
     census = census_rows(
         tables, cfg, cfg.primary_years, MODAL_RAW, where,
-        lambda name: ["ethnicgroup"] if no_ethnicity.search(name) else [],
+        lambda name: ["ethnicgroup"],  # some vintages have none
     )
     ap = ap_rows(
         tables, cfg, [*(c for c in MODAL_RAW if c != "languagegroup"), "academicyear"],
@@ -85,8 +85,14 @@ def year7_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFra
 
 
 
-def ever_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
-    """Distinct (pmr, fsm_ever_primary, senprovision, specialist_school) worth keeping."""
+def ever_demographics(
+    tables: Tables, cfg: Config, spine: DataFrame, specialist: DataFrame | None = None
+) -> DataFrame:
+    """Distinct (pmr, fsm_ever_primary, senprovision, specialist_school) worth keeping.
+
+    ``specialist`` may add rows (pmr, specialist_school) found by a school register,
+    see :func:`flag_specialist`.
+    """
     keep = ["pmr", "fsmeligible", "senprovision"]
     age_year = year_group(READING_YEARS[:-1], "<", 11)
     parts: list[DataFrame] = [census_rows(tables, cfg, cfg.primary_years[:-1], keep, age_year)]
@@ -107,6 +113,9 @@ def ever_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFram
         "senprovision",
         F.when(F.col("source_table").isin("AP", "PRU"), F.lit(True)).alias("specialist_school"),
     )
+    if specialist is not None:
+        more = restrict_to(specialist.filter("specialist_school").select("pmr", "specialist_school"), spine, "pmr")
+        rows = rows.unionByName(more.distinct(), allowMissingColumns=True)
     # codes on neither list stay as they are, apart from "N"
     rows = rows.withColumn("senprovision", F.coalesce("_known", nullify("senprovision", ["N"]))).drop("_known")
     return ever_flags(rows, cfg.strict_nulls)

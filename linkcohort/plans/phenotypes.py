@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkcohort.config import Config
+from linkcohort.functions.dates import end_of_august, september
 from linkcohort.operators import (
-    join_spells, los_nights, match_codes, repair_dates, restrict_to, unpack_codes, within_school_window,
+    join_spells, los_nights, match_codes, repair_dates, unpack_codes, with_year7, within_window,
 )
 from linkcohort.plans.births import DIAG, OPERTN, episode_rows
 from linkcohort.sources import Tables
@@ -28,17 +29,31 @@ OUT = ["tpid", "y7_year", "code", "group", "epistart", "phen_group"]
 def primary_school_episodes(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
     """Episodes of spells that start in a member's primary school years, with length of stay."""
     df = episode_rows(tables, cfg, cfg.hospital_years, {"admimeth": "string", "startage": "int"}, [*DIAG, *OPERTN])
-    df = join_spells(repair_dates(restrict_to(df, spine, "tpid")), "tpid", cfg.spell_mode)
-    df = within_school_window(df, spine, "tpid", "spell_start", end_inclusive=cfg.window_end_inclusive)
+    # the cohort's year 7 comes with the restriction to it, so episodes meet the spine once
+    df = join_spells(repair_dates(with_year7(df, spine, "tpid")), "tpid", cfg.spell_mode)
+    lo, hi = september(F.col("y7_year") - 7), end_of_august(F.col("y7_year") - 1)
+    df = within_window(df, "spell_start", lo, F.date_add(hi, 1) if cfg.window_end_inclusive else hi)
     return df.withColumn("spell_los_nights", los_nights())
 
 
-def long_codes(df: DataFrame) -> DataFrame:
-    """One row per code of each episode, cut to four characters."""
+def long_codes(df: DataFrame, emergency: DataFrame | None = None) -> DataFrame:
+    """One row per code of each episode, cut to four characters.
+
+    With the list of emergency admission methods, episodes are marked ``urgent``
+    before their codes are expanded.
+    """
     ids = ["tpid", "y7_year", "epistart", "spell_start", "admimeth", "startage", "spell_los_nights"]
+    if emergency is not None:
+        df, ids = mark_urgent(df, emergency), [*ids, "urgent"]
     return unpack_codes(df, ids, "codes", {"diag": len(DIAG), "opertn": len(OPERTN)})
 
 
+def mark_urgent(df: DataFrame, emergency: DataFrame) -> DataFrame:
+    """``urgent``: whether the admission method is on the list."""
+    urgent = emergency.select(F.col("code").alias("admimeth")).distinct().withColumn("_urgent", F.lit(True))
+    return df.join(urgent, "admimeth", "left").withColumn("urgent", F.coalesce("_urgent", F.lit(False))).drop("_urgent")
+
+
 def chronic_conditions(long: DataFrame, codes: DataFrame, label: str = "chronic") -> DataFrame:
     """Diagnoses on the chronic-condition list, less those whose entry needs more.
 
@@ -79,26 +94,20 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
 
     Only rows that match a list reach the episode aggregate.
     """
-    # a key that cannot be NULL adds no filter below, so both uses share one read
-    long = long.withColumn("_method", F.coalesce("admimeth", F.lit("")))
-    urgent = emergency.select(F.col("code").alias("_method")).distinct().withColumn("_urgent", F.lit(True))
-    rows = long.join(urgent, "_method", "left")
-    rows = rows.filter(F.col("_urgent") | (F.col("code_type") == "opertn"))
-    diag = long.filter(F.col("code_type") == "diag").join(urgent, "_method", "left_semi")
+    long = long if "urgent" in long.columns else mark_urgent(long, emergency)
+    rows = long.filter(F.col("urgent") | (F.col("code_type") == "opertn"))
+    diag = long.filter(F.col("urgent") & (F.col("code_type") == "diag"))
 
     entries = presentation_entries(codes, medical)
-    marked = rows
+    hits = []
     for k in (3, 4):
-        side = entries.filter(F.col("_k") == k).select(
-            F.col("_type").alias(f"_t{k}"), F.col("code").alias(f"_c{k}"), F.col("_tags").alias(f"_tags{k}")
-        )
-        same = (F.col("code_type") == F.col(f"_t{k}")) & (F.substring("code", 1, k) == F.col(f"_c{k}"))
-        marked = marked.join(side, same, "left")
-    marked = marked.filter(F.col("_tags3").isNotNull() | F.col("_tags4").isNotNull())
+        side = entries.filter(F.col("_k") == k).select(F.col("_type").alias("_t"), F.col("code").alias("_c"), "_tags")
+        same = (F.col("code_type") == F.col("_t")) & (F.substring("code", 1, k) == F.col("_c"))
+        hits.append(rows.join(side, same).select("tpid", "epistart", "code_no", "_tags"))
+    marked = hits[0].unionByName(hits[1])
 
     def tagged(name: str) -> Column:
-        found = [F.coalesce(F.array_contains(f"_tags{k}", name), F.lit(False)) for k in (3, 4)]
-        return found[0] | found[1]
+        return F.array_contains("_tags", name)
 
     first = F.col("code_no") == 1
     flags = {out: tagged(name) & (F.lit(True) if out == "selfharm" else first) for name, out in PRESENTATIONS.items()}

@@ -13,7 +13,7 @@ from linkcohort.operators import (
     annualise, collapse_sum, ever, rate, rates, restrict_to, school_year_panel,
 )
 from linkcohort.plans.census import academic_years, ap_rows, census_rows
-from linkcohort.sources import Tables, discover, harmonise, open_table, union_family
+from linkcohort.sources import Tables, discover, union_family
 
 ANNUAL_RATES = {
     "abs_auth_rate": "authorised_annual",
@@ -113,8 +113,8 @@ def exams(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
         "pmr": "^ks4_pupilmatchingrefanonymous", "academicyear": "^ks4_acadyr", "att8": "^ks4_att8",
         "glevel2em_ptq_ee": "^ks4_glevel2em_ptq_ee", "ebacc_94": "^ks4_ebacc_94",
     }
-    name = discover(tables, f"^{cfg.exam_table}")[0]
-    rows = harmonise(open_table(tables, name), columns)
+    names = discover(tables, f"^{cfg.exam_table}")
+    rows = union_family(tables, names, columns).drop("source_table")
     rows = rows.withColumn("academicyear", parse_acad_year("academicyear"))
     rows = rows.filter(academic_years(range(cfg.first_y7 + 3, cfg.last_y7 + 5)))
     rows = restrict_to(rows, spine, "pmr")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from linkcohort.config import Config
 from linkcohort.plans import births, care, demographics, phenotypes, school, spines
+from linkcohort.plans.census import CensusStep, census_step
 from linkcohort.plans.combine import combine
-from linkcohort.sources import Tables, load_step, save_step, shared_dir
+from linkcohort.sources import Tables, checked_root, discover, load_step, save_step, shared_dir
 
 SPINE, FINAL = "1_cohort_spine", "2_cohort_spine_complete"
 
@@ -24,8 +26,10 @@ class Study:
     presentations, presentations_medical, emergency_admissions; ``csv`` may hold
     cin and cla. Modules whose inputs are missing are skipped.
 
-    Every step is written below ``root`` and read back, so a step never repeats
-    the ones before it and survives the loss of executors.
+    Every step is written below ``root`` (by default the session's checkpoint
+    folder) in a folder called ``name`` (by default one of its own for each run) and
+    read back, so a step never repeats the ones before it and survives the loss
+    of executors. A step that is there already is an error.
     """
 
     spark: SparkSession
@@ -34,17 +38,18 @@ class Study:
     config: Config = Config()
     csv: Mapping[str, DataFrame] | None = None
     root: str | None = None
-    name: str = "processed"
+    name: str = field(default_factory=lambda: f"study-{uuid.uuid4().hex}")
 
     @property
     def folder(self) -> str:
-        return f"{shared_dir(self.spark, self.root)}/{self.name}"
+        root = checked_root(self.spark, self.root) if self.root else shared_dir(self.spark)
+        return f"{root}/{self.name}"
 
     def load(self, step: str) -> DataFrame:
         return load_step(self.spark, step, self.folder)
 
-    def save(self, df: DataFrame, step: str) -> DataFrame:
-        return save_step(df, step, self.folder)
+    def save(self, df: DataFrame, step: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        return save_step(df, step, self.folder, partition_by)
 
     def spine(self) -> DataFrame:
         if self.config.inception == "birth":
@@ -52,29 +57,44 @@ class Study:
             return births.birth_spine(self.tables, self.config, lists["births"], lists["multiple_still_births"])
         return spines.school_spine(self.tables, self.config)
 
+    def has(self, pattern: str, years: Iterable[int] | None = None) -> bool:
+        return bool(discover(self.tables, pattern, years))
+
+    def census(self, spine: DataFrame) -> CensusStep | None:
+        """The censuses of all modules, read, harmonised and cut to the spine once."""
+        rows = census_step(self.tables, self.config, spine)
+        return None if rows is None else CensusStep(self.tables, self.save(rows, "census", ["source_table"]))
+
     def modules(self, spine: DataFrame) -> dict[str, DataFrame]:
-        """One result per module, by the name it is saved under; lazy but for the hospital codes."""
+        """One result per module that has its inputs, by the name it is saved under."""
         t, c, lists, csv = self.tables, self.config, self.codelists, self.csv or {}
-        out = {
-            "demographics_modals": demographics.modal_demographics(t, c, spine),
-            "demographics_y7": demographics.year7_demographics(t, c, spine),
-            "demographics_ever": demographics.ever_demographics(t, c, spine),
-            "enrolments": school.enrolments(t, c, spine),
-            "exclusions": school.exclusions(t, c, spine),
-            "absence": school.absence(t, c, spine),
-            "exams": school.exams(t, c, spine),
-            "contacts": care.outpatient_contacts(t, c, spine),
-        }
-        if c.inception == "school" and "births" in lists:
+        out = {}
+        if (census := self.census(spine)) is not None:
+            out |= {
+                "demographics_modals": demographics.modal_demographics(census, c, spine),
+                "demographics_y7": demographics.year7_demographics(census, c, spine),
+                "demographics_ever": demographics.ever_demographics(census, c, spine),
+                "enrolments": school.enrolments(census, c, spine),
+            }
+        if self.has(c.exclusion_tables, c.secondary_years):
+            out["exclusions"] = school.exclusions(t, c, spine)
+        if self.has(c.absence_tables, c.secondary_years):
+            out["absence"] = school.absence(t, c, spine)
+        if self.has(f"^{c.exam_table}"):
+            out["exams"] = school.exams(t, c, spine)
+        if self.has(c.outpatient_tables, c.hospital_years):
+            out["contacts"] = care.outpatient_contacts(t, c, spine)
+        if c.inception == "school" and {"births", "multiple_still_births"} <= set(lists) and self.has(c.episode_tables, c.birth_years):
             out["birth_records"] = births.birth_characteristics(t, c, spine, lists["births"], lists["multiple_still_births"])
-        if "chronic" in lists:
+        needed = {"chronic", "presentations", "presentations_medical", "emergency_admissions"}
+        if needed <= set(lists) and self.has(c.episode_tables, c.hospital_years):
             # written first: chronic conditions and presentations each read it
-            long = phenotypes.long_codes(phenotypes.primary_school_episodes(t, c, spine))
+            long = phenotypes.long_codes(phenotypes.primary_school_episodes(t, c, spine), lists["emergency_admissions"])
             out["phen_codes"] = phenotypes.phenotype_codes(
                 self.save(long, "hospital_codes"), c, lists["chronic"], lists["presentations"],
                 lists["presentations_medical"], lists["emergency_admissions"],
             )
-        if "cin" in csv:
+        if {"cin", "cla"} <= set(csv):
             out["social_care"] = care.social_care(csv["cin"], csv["cla"], c, spine)
         return out
 

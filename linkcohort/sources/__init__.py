@@ -1,6 +1,6 @@
 from linkcohort.sources.catalog import Tables, discover, open_table, table_names
 from linkcohort.sources.files import (
-    MAX_CODES, bounded_codes, codelist, load_step, normalise_codelist, read_codelist,
+    checked_root, codelist, load_step, normalise_codelist, read_codelist,
     read_csv_module, save_step, shared_dir, write_table,
 )
 from linkcohort.sources.harmonise import (
@@ -9,7 +9,7 @@ from linkcohort.sources.harmonise import (
 )
 
 __all__ = [
-    "MAX_CODES", "Tables", "bounded_codes", "census_term", "census_year", "codelist", "discover",
+    "Tables", "checked_root", "census_term", "census_year", "codelist", "discover",
     "find_column", "harmonise", "load_step", "lower_names", "normalise_codelist", "numbered",
     "open_table", "read_codelist", "read_csv_module", "save_step", "shared_dir", "table_names",
     "union_all", "union_family", "write_table", "year_group",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
@@ -9,11 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Most codes a codelist may hold before it is treated as a table rather than as
-# constants in an expression. The ICD-10 and OPCS-4 code spaces are smaller.
-MAX_CODES = 20_000
-
-
 def normalise_codelist(df: DataFrame) -> DataFrame:
     """Lower-case names, codes without dots, blank attributes as empty text."""
     df = df.toDF(*[c.lower() for c in df.columns])
@@ -34,12 +30,6 @@ def codelist(spark: SparkSession, rows: Sequence[Sequence[str]], columns: Sequen
     return normalise_codelist(spark.createDataFrame(table))
 
 
-def bounded_codes(codes: DataFrame, max_codes: int = MAX_CODES) -> list[str] | None:
-    """The distinct codes as constants, or None if there are more than ``max_codes``."""
-    rows = codes.select("code").distinct().limit(max_codes + 1).collect()
-    return sorted(r[0] for r in rows) if len(rows) <= max_codes else None
-
-
 def read_csv_module(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV extract with a header and a declared schema.
 
@@ -56,9 +46,10 @@ def write_table(
     fmt: str = "parquet",
     compression: str | None = None,
     partition_by: Iterable[str] = (),
+    mode: str = "overwrite",
 ) -> None:
     """Write a result as parquet, orc, json or csv, compressed as asked."""
-    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
     if compression:
         writer = writer.option("compression", compression)
     if fmt == "csv":
@@ -69,19 +60,33 @@ def write_table(
 def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The folder every executor can reach: the session's checkpoint directory.
 
-    ``fallback`` is used only where the session names none.
+    ``fallback`` is used only where the session names none, and may be a local
+    folder in local mode only.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named or fallback:
-        return (named or fallback).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if fallback:
+        return checked_root(spark, fallback)
     raise ValueError("set spark.checkpoint.dir to a folder all executors share, or pass one")
 
 
-def save_step(df: DataFrame, name: str, root: str) -> DataFrame:
-    """Write one module's result and read it back, which cuts its lineage."""
+def checked_root(spark: SparkSession, path: str) -> str:
+    """The path without its last slash; an error if it is on one machine only and the session is not."""
+    scheme = path.split("://")[0] if "://" in path else "file"
+    if scheme == "file" and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError(f"{path!r} is a folder of one machine; name one that all executors share")
+    return path.rstrip("/")
+
+
+def save_step(df: DataFrame, name: str, root: str, partition_by: Iterable[str] = (), mode: str = "error") -> DataFrame:
+    """Write one module's result and read it back, which cuts its lineage.
+
+    A step that is there already is an error, so that runs cannot replace each other's.
+    """
     path = f"{root.rstrip('/')}/{name}"
-    write_table(df, path)
-    return load_step(df.sparkSession, name, root)
+    write_table(df, path, partition_by=partition_by, mode=mode)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # also where there are no rows
 
 
 def load_step(spark: SparkSession, name: str, root: str) -> DataFrame:
@@ -89,6 +94,6 @@ def load_step(spark: SparkSession, name: str, root: str) -> DataFrame:
 
 
 __all__ = [
-    "MAX_CODES", "bounded_codes", "codelist", "load_step", "normalise_codelist", "read_codelist",
+    "checked_root", "codelist", "load_step", "normalise_codelist", "read_codelist",
     "read_csv_module", "save_step", "shared_dir", "write_table",
 ]

@@ -48,3 +48,8 @@ def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0
     assert len(df.columns) > 80 and len(set(df.columns)) == len(df.columns)
+
+
+def test_sorted_is_in_order(spark):
+    got = [tuple(r) for r in QUERIES["q_sorted"](spark, SMALL).collect()]
+    assert got == sorted(got)

@@ -70,7 +70,6 @@ def test_codelists_and_csv_modules(spark, tmp_path):
     (tmp_path / "cin.csv").write_text("other,pmr,referraldate,cpp\n1,p,2010-03-04,TRUE\n2,,bad,FALSE\n")
     got = src.read_csv_module(spark, str(tmp_path / "cin.csv"), "pmr string, referraldate date, cpp boolean")
     assert [(r.pmr, str(r.referraldate), r.cpp) for r in got.collect()] == [("p", "2010-03-04", True), (None, "None", False)]
-    assert src.bounded_codes(src.codelist(spark, [("a",), ("b",)], ["code"]), max_codes=1) is None
 
 
 @pytest.mark.parametrize("fmt,compression", [("parquet", "none"), ("parquet", "gzip"), ("csv", "none"), ("csv", "gzip"), ("orc", None), ("json", None)])
@@ -96,3 +95,14 @@ def test_shared_dir_prefers_the_session(spark, tmp_path):
         assert src.shared_dir(spark, str(tmp_path)) == str(tmp_path)
         with pytest.raises(ValueError):
             src.shared_dir(spark)
+
+
+def test_a_local_folder_is_refused_on_a_cluster():
+    class Cluster:
+        class sparkContext:
+            master = "yarn"
+
+    assert src.checked_root(Cluster, "hdfs://a/b/") == "hdfs://a/b"
+    for path in ("/tmp/x", "file:///tmp/x"):
+        with pytest.raises(ValueError):
+            src.checked_root(Cluster, path)

@@ -69,6 +69,6 @@ def case(sql: str | None = None, name: str | None = None) -> Callable[[Query], Q
 
 
 def load_all() -> dict[str, Case]:
-    from workload import clean, codes, episodes, join, panels, reduce, report, school, shape  # noqa: F401
+    from workload import clean, codes, episodes, join, panels, reduce, report, school, shape, study  # noqa: F401
 
     return CASES

@@ -64,19 +64,24 @@ SELECT p_partkey, p_brand IN ('Brand#1','Brand#10','Brand#11','Brand#12','Brand#
 """
 
 
-def _any(d: Data, **how):
+@case(ANY_SQL)
+def q_any_code(d: Data):
     wide = d.part.select("p_partkey", F.regexp_replace("p_brand", "Brand#", "B").alias("c_1"), F.substring("p_type", 1, 2).alias("c_2"))
     wide = wide.select("p_partkey", pack_codes(["c_1", "c_2"]).alias("codes"))
     listed = codelist(d.spark, [*[(c,) for c, *_ in BRANDS], ("PR",)], ["code"])
-    return any_code(wide, "listed", "codes", listed, ["p_partkey"], lengths=(2, 3), **how).select("p_partkey", "listed")
-
+    return any_code(wide, "listed", "codes", listed, ["p_partkey"], lengths=(2, 3)).select("p_partkey", "listed")
 
-@case(ANY_SQL)
-def q_any_code(d: Data):
-    return _any(d)
 
-
-@case(ANY_SQL)
+@case("""
+WITH o AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(l_partkey % 500, 0) AS person, nullif(l_orderkey % 100, 0) AS episode,
+  l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 40) AS hit FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, bool_or(hit) OVER (PARTITION BY person, episode) AS listed FROM o
+""")
 def q_any_code_joined(d: Data):
-    """The way taken for a codelist too large to be constants."""
-    return _any(d, max_codes=2)
+    """A list as long as a table, and keys that repeat or are missing."""
+    rows = d.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.nullif(F.col("l_partkey") % 500, F.lit(0)).alias("person"),
+        F.nullif(F.col("l_orderkey") % 100, F.lit(0)).alias("episode"), F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("codes"),
+    )
+    listed = d.part.filter("p_size > 40").select(F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("code"))
+    return any_code(rows, "listed", "codes", listed, ["person", "episode"], lengths=(9,)).drop("person", "episode", "codes")

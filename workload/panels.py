@@ -128,12 +128,12 @@ def q_melt(d: Data):
 
 @case("""
 WITH w AS (SELECT user_id, (day(ts) - 1) // 7 AS week, count(*) AS n, max(value) AS top FROM events GROUP BY 1, 2)
-SELECT user_id, max(n) FILTER (WHERE week = 0) AS n_0, max(n) FILTER (WHERE week = 1) AS n_1, max(n) FILTER (WHERE week = 2) AS n_2,
-  max(top) FILTER (WHERE week = 0) AS top_0, max(top) FILTER (WHERE week = 1) AS top_1, max(top) FILTER (WHERE week = 2) AS top_2
+SELECT user_id, max(n) FILTER (WHERE week = 0) AS n_0, max(n) FILTER (WHERE week = 1) AS n_1, max(n) FILTER (WHERE week = 2) AS n_2, max(n) FILTER (WHERE week = 3) AS n_3, max(n) FILTER (WHERE week = 4) AS n_4,
+  max(top) FILTER (WHERE week = 0) AS top_0, max(top) FILTER (WHERE week = 1) AS top_1, max(top) FILTER (WHERE week = 2) AS top_2, max(top) FILTER (WHERE week = 3) AS top_3, max(top) FILTER (WHERE week = 4) AS top_4
 FROM w GROUP BY 1
 """)
 def q_dcast(d: Data):
     w = d.events.groupBy("user_id", ((F.dayofmonth("ts") - 1) / 7).cast("int").alias("week")).agg(
         F.count(F.lit(1)).alias("n"), F.max("value").alias("top")
     )
-    return dcast(w, ["user_id"], "week", range(3), ["n", "top"])
+    return dcast(w, ["user_id"], "week", range(5), ["n", "top"])

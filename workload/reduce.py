@@ -174,7 +174,7 @@ def q_exam_max(d: Data):
         "passed": F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
         "grade": F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")),
     })
-    return o.groupBy("o_custkey").agg(F.max("att8").alias("att8"), F.max("passed").alias("passed"), max_or_null("grade").alias("grade"))
+    return ever(o, "o_custkey", ["att8", "passed"]).join(ever(o, "o_custkey", ["grade"], True), "o_custkey")
 
 
 @case("""
@@ -198,6 +198,17 @@ def q_row_number(d: Data):
     return number_rows(rows, "o_custkey", "day", "o_orderkey", "order_n").select("o_orderkey", "o_custkey", "order_n")
 
 
+@case("""
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey * CASE WHEN o_orderkey % 2 = 0 THEN 10000000000000 ELSE -10000000000000 END AS id FROM orders)
+SELECT id, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY day, id) AS INTEGER) AS order_n FROM o
+""")
+def q_row_number_wide(d: Data):
+    """Ids from end to end of the 64-bit numbers."""
+    sign = F.when(F.col("o_orderkey") % 2 == 0, F.lit(10**13)).otherwise(F.lit(-(10**13)))
+    rows = d.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("day"), (F.col("o_orderkey") * sign).alias("id"))
+    return number_rows(rows, "o_custkey", "day", "id", "order_n").select("id", "o_custkey", "order_n")
+
+
 @case("""
 WITH days AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, min(o_orderstatus) AS v FROM orders GROUP BY 1, 2),
 runs AS (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY o_custkey ORDER BY day) THEN 0 ELSE 1 END AS new_run FROM days),

@@ -299,11 +299,13 @@ def q_attendance(d: Data):
     return care.attendance_summary(care.outpatient_contacts(s.outpatient_tables(d), s.CONFIG, s.spine(d)))
 
 
-@case(f"""
-SELECT 'T' || o_custkey AS tpid, min(CAST(o_orderdate AS DATE)) AS reqdate,
-  min(CAST(l_shipdate AS DATE)) FILTER (WHERE l_returnflag = 'A') AS date_first_attended,
-  CAST(min(CAST(l_shipdate AS DATE)) FILTER (WHERE l_returnflag = 'A') - min(CAST(o_orderdate AS DATE)) AS INTEGER) AS waiting_days
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1
+@case("""
+WITH a AS (SELECT 'T' || o_custkey AS tpid, CAST(o_orderdate AS DATE) AS d, CAST(l_shipdate AS DATE) AS ship, l_returnflag = 'A' AS seen
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey),
+f AS (SELECT tpid, min(ship) AS ship FROM a WHERE seen GROUP BY 1),
+g AS (SELECT a.tpid, a.ship, min(a.d) AS d FROM a JOIN f ON f.tpid = a.tpid AND f.ship = a.ship WHERE a.seen GROUP BY 1, 2),
+n AS (SELECT tpid, min(d) AS d FROM a GROUP BY 1)
+SELECT n.tpid, coalesce(g.d, n.d) AS reqdate, g.ship AS date_first_attended, CAST(g.ship - g.d AS INTEGER) AS waiting_days FROM n LEFT JOIN g ON g.tpid = n.tpid
 """)
 def q_waiting_time(d: Data):
     rows = d.orders.join(d.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -321,7 +323,7 @@ def q_latest_referrals(d: Data):
     yearly = d.lineitem.groupBy(
         F.col("l_partkey").alias("referral"), F.col("l_suppkey").alias("child"), F.year("l_shipdate").alias("snapshot")
     ).agg(F.count(F.lit(1)).alias("n_lines"))
-    return care.latest_referrals(yearly, ["referral", "child"], "snapshot")
+    return care.latest_referrals(yearly, ["referral", "child"], "snapshot", ["n_lines"])
 
 
 @case(f"WITH {s.SPINE}, {s.SOCIAL} SELECT * FROM care")
@@ -403,3 +405,15 @@ SELECT *, {', '.join(LATER)} FROM wide
 @case(COMBINED)
 def q_combine(d: Data):
     return combine(s.spine(d), parts(d), s.CONFIG)
+
+
+@case(f"""
+{_characteristics_sql(BIRTH_WINDOW).replace(" SELECT tpid, ", ", c AS (SELECT tpid, ", 1)})
+SELECT 'P' || p_partkey AS pmr, 'T' || p_partkey AS tpid, CAST(2008 + p_partkey % 3 AS INTEGER) AS y7_year, gestat, birweit, matage, imd_decile
+FROM part LEFT JOIN c ON c.tpid = 'T' || p_partkey
+""")
+def q_combine_births(d: Data):
+    """What was recorded at birth, on a school-inception spine."""
+    cfg = replace(s.BIRTH_CONFIG, inception="school")
+    spine = _patients(d).withColumn("pmr", F.concat(F.lit("P"), F.substring("tpid", 2, 20)))
+    return combine(spine, {"birth_records": births.birth_characteristics(s.birth_tables(d), cfg, spine, *s.birth_lists(d))}, cfg)

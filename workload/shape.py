@@ -104,7 +104,7 @@ CENSUS = f"""census AS (SELECT 'P' || o_custkey AS pmr, CAST(year(o_orderdate) A
 def _ap(d: Data) -> DataFrame:
     key = F.col("c_custkey")
     year = 1990 + key % 12
-    return d.customer.filter(F.col("c_mktsegment") == "AUTOMOBILE").select(
+    return d.customer.select(
         F.concat(F.lit("P"), key).alias("AP_PupilMatchingRefAnonymous"), F.concat_ws("/", year - 1, year).alias("AP_ACADYR"),
         (5 + F.col("c_nationkey") % 10).alias("AP_Age_Start"), pick(GENDER, key).alias("AP_Gender"),
         pick(ETHNICITY, F.floor(key / 2)).alias("AP_EthnicGroupMajor"), (1984 + key % 3).cast("int").alias("AP_YearOfBirth"),
@@ -115,13 +115,13 @@ def _ap(d: Data) -> DataFrame:
 
 AP = f"""ap AS (SELECT 'P' || c_custkey AS pmr, 1990 + c_custkey % 12 AS ay, 5 + c_nationkey % 10 AS age, {pick_sql(GENDER, 'c_custkey')} AS gender,
   {pick_sql(ETHNICITY, 'c_custkey // 2')} AS eth, CAST(1984 + c_custkey % 3 AS INTEGER) AS yob, CAST(1 + c_custkey % 12 AS INTEGER) AS mob,
-  CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS fsm, {pick_sql(SEN, 'c_custkey')} AS sen FROM customer WHERE c_mktsegment = 'AUTOMOBILE')"""
+  CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS fsm, {pick_sql(SEN, 'c_custkey')} AS sen FROM customer)"""
 
 
 def _pru(d: Data) -> DataFrame:
     key, nc = F.col("c_custkey"), F.col("c_nationkey") % 9
-    return d.customer.filter(F.col("c_mktsegment") == "FURNITURE").select(
-        F.concat(F.lit("P"), key).alias("PRU_PupilMatchingRefAnonymous"), F.lit("1996/1997").alias("PRU_AcademicYear"),
+    return d.customer.select(
+        F.concat(F.lit("P"), key).alias("PRU_PupilMatchingRefAnonymous"), F.when(key % 2 == 0, "1996/1997").otherwise("1997/1998").alias("PRU_AcademicYear"),
         F.when(nc == 0, "R").when(nc == 8, "X").otherwise(nc.cast("string")).alias("PRU_NCyearActual"),
         (5 + key % 10).alias("PRU_AgeAtStartOfAcademicYear"), pick(GENDER, key).alias("PRU_Gender"),
         pick(ETHNICITY, key).alias("PRU_EthnicGroupMajor"), pick(LANGUAGE, key).alias("PRU_LanguageGroupMajor"),
@@ -133,7 +133,7 @@ def _pru(d: Data) -> DataFrame:
 PRU = f"""pru AS (SELECT 'P' || c_custkey AS pmr, CASE c_nationkey % 9 WHEN 0 THEN 'R' WHEN 8 THEN 'X' ELSE CAST(c_nationkey % 9 AS VARCHAR) END AS nc,
   5 + c_custkey % 10 AS age, {pick_sql(GENDER, 'c_custkey')} AS gender, {pick_sql(ETHNICITY, 'c_custkey')} AS eth,
   {pick_sql(LANGUAGE, 'c_custkey')} AS lang, CAST(1984 + c_custkey % 3 AS INTEGER) AS yob, CAST(1 + c_custkey % 12 AS INTEGER) AS mob,
-  CASE WHEN c_acctbal > 8000 THEN 1 ELSE 0 END AS fsm, {pick_sql(SEN, 'c_custkey // 2')} AS sen FROM customer WHERE c_mktsegment = 'FURNITURE')"""
+  CASE WHEN c_acctbal > 8000 THEN 1 ELSE 0 END AS fsm, {pick_sql(SEN, 'c_custkey // 2')} AS sen FROM customer)"""
 
 
 def _bridge(d: Data) -> DataFrame:
@@ -145,7 +145,12 @@ BRIDGE = """bridge AS (SELECT 'P' || o_custkey AS pmr, CASE WHEN o_orderkey % 11
 
 
 def census_tables(d: Data) -> dict[str, DataFrame]:
-    return _census(d) | {"AP_Census_1990_to_2001": _ap(d), "PRU_Census_1997": _pru(d), "bridging": _bridge(d)}
+    ap, pru = _ap(d), _pru(d)
+    early = F.col("AP_ACADYR") < "1995"
+    return _census(d) | {
+        "AP_Census_1990_to_1995": ap.filter(early), "AP_Census_1996_to_2001": ap.filter(~early),
+        **{f"PRU_Census_{y}": pru.filter(F.col("PRU_AcademicYear") == f"{y - 1}/{y}") for y in (1997, 1998)}, "bridging": _bridge(d),
+    }
 
 
 def exclusion_tables(d: Data) -> dict[str, DataFrame]:
@@ -158,7 +163,7 @@ def exclusion_tables(d: Data) -> dict[str, DataFrame]:
         F.col("o_orderdate").cast("date").alias("StartDate"),
         "o_orderdate",
     )
-    return {f"Exclusions_{y}": yearly(rows, "o_orderdate", y, f"_ex{y % 100:02d}") for y in range(1996, 2002)}
+    return {f"Exclusions_{y}": yearly(rows, "o_orderdate", y, f"_ex{y % 100:02d}") for y in TERMS}
 
 
 EXCLUSIONS = """excl AS (SELECT e.*, s.y7_year, CAST(e.academicyear - (s.y7_year - 7) AS INTEGER) AS year FROM (
@@ -181,7 +186,7 @@ def absence_tables(d: Data) -> dict[str, DataFrame]:
             value = f"CASE WHEN o_orderkey % 4 <> 0 THEN {value} END" if i == 3 else value
             cols.append(F.expr(f"{value} AS {stem}_{term}"))
     rows = d.orders.select(*cols, "o_orderdate")
-    return {f"Absence_{y}": yearly(rows, "o_orderdate", y, f"_ab{y % 100:02d}") for y in range(1996, 2002)}
+    return {f"Absence_{y}": yearly(rows, "o_orderdate", y, f"_ab{y % 100:02d}") for y in TERMS}
 
 
 def _absence_sum(m: int) -> str:
@@ -208,11 +213,13 @@ absence AS (SELECT pmr, year, CAST(pos AS BIGINT) AS sessionspossible_annual,
 
 def exam_tables(d: Data) -> dict[str, DataFrame]:
     year = F.year("o_orderdate")
-    return {"KS4Pupil_1995_to_2001": d.orders.select(
+    rows = d.orders.withColumn("late", year >= 2000).select(
+        "late",
         F.concat(F.lit("P"), F.col("o_custkey")).alias("KS4_PupilMatchingRefAnonymous"), F.concat_ws("/", year - 1, year).alias("KS4_ACADYR"),
         F.round(F.col("o_totalprice") / 10000, 1).alias("KS4_ATT8"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("KS4_GLEVEL2EM_PTQ_EE"),
         F.when(F.col("o_orderpriority") == "1-URGENT", 1).when(F.col("o_orderpriority") != "5-LOW", 0).alias("KS4_EBACC_94"),
-    )}
+    )
+    return {"KS4Pupil_1995_to_1999": rows.filter("NOT late").drop("late"), "KS4Pupil_2000_to_2001": rows.filter("late").drop("late")}
 
 
 EXAMS = """exams AS (SELECT 'P' || o_custkey AS pmr, max(round(o_totalprice / 10000, 1)) AS att8,
@@ -244,7 +251,7 @@ def social_care_frames(d: Data) -> tuple[DataFrame, DataFrame]:
         F.concat(F.lit("P"), F.col("o_custkey")).alias("pmr"), F.date_sub(F.col("o_orderdate").cast("date"), SHIFT).alias("referraldate"),
         (F.col("o_orderstatus") == "F").alias("need_episode"), (F.col("o_orderpriority") == "1-URGENT").alias("cpp"),
     )
-    cla = d.lineitem.filter((F.col("l_returnflag") == "R") & (F.col("l_discount") == 0)).select(
+    cla = d.lineitem.select(
         F.concat(F.lit("P"), F.col("l_partkey")).alias("pmr"),
         F.date_sub(F.col("l_shipdate").cast("date"), SHIFT).alias("date_episode_started"),
     )
@@ -252,7 +259,7 @@ def social_care_frames(d: Data) -> tuple[DataFrame, DataFrame]:
 
 
 SOCIAL = f"""care_rows AS (SELECT 'P' || o_custkey AS pmr, CAST(o_orderdate AS DATE) - {SHIFT} AS day, o_orderstatus = 'F' AS cin, o_orderpriority = '1-URGENT' AS cpp, FALSE AS cla FROM orders
-  UNION ALL SELECT 'P' || l_partkey, CAST(l_shipdate AS DATE) - {SHIFT}, FALSE, FALSE, TRUE FROM lineitem WHERE l_returnflag = 'R' AND l_discount = 0),
+  UNION ALL SELECT 'P' || l_partkey, CAST(l_shipdate AS DATE) - {SHIFT}, FALSE, FALSE, TRUE FROM lineitem),
 care AS (SELECT s.pmr, bool_or(cin) AS ever_cin, bool_or(cpp) AS ever_cpp, bool_or(cla) AS ever_cla FROM care_rows r JOIN spine s ON s.pmr = r.pmr
   WHERE day >= make_date(CAST(s.y7_year AS BIGINT) - 7, 9, 1) AND day < make_date(CAST(s.y7_year AS BIGINT) - 1, 8, 31) GROUP BY 1)"""
 
