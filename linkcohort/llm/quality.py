@@ -79,13 +79,15 @@ def _kth_largest(df: DataFrame, column: str, k: int, small: int = 4_096) -> floa
 
 
 def _best_cut(rows: list[tuple[float, int, int]]) -> float:
-    """The value from which on most good and fewest bad documents lie; rows of (value, good, bad)."""
-    good, bad = sum(r[1] for r in rows), sum(r[2] for r in rows)
-    best, at, kept, dropped = -1.0, -math.inf, good, 0
+    """Where fewest good documents lie below and fewest bad ones above, midway to the next value below; rows of (value, good, bad)."""
+    good = sum(r[1] for r in rows)
+    best, at, below = -1, -math.inf, -math.inf
+    right = good
     for value, g, b in sorted(rows):
-        if (score := kept / good + dropped / bad) > best:
-            best, at = score, value
-        kept, dropped = kept - g, dropped + b
+        if right > best:
+            best, at = right, value if below == -math.inf else (value + below) / 2
+        right += b - g
+        below = value
     return at
 
 
@@ -95,7 +97,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     ``labels`` (doc_id, quality, toxic): the target model counts the documents of
     quality 1 that are not toxic, the raw model counts all documents. log_ratio is
     the mean log ratio of the two over the n-grams of a text. As many documents are
-    kept as lie above the value that best parts the labelled ones, drawn with
+    kept as lie above the value that best parts the labelled ones, of which one half
+    is for the target model and the other for this, drawn with
     weights exp(log_ratio / temperature) by Gumbel top-k: the noise is of the id
     and text, so that repeated rows share a draw.
 
@@ -106,12 +109,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     a NULL ratio and are not kept. All rows equal to the last value kept stay.
     """
     docs = docs.select(docs["doc_id"].alias("doc_id"), "text")
+    half = F.xxhash64("doc_id", F.lit(seed + 1)) % 2 == 0
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.when(good, 1).when(F.col("quality") == 0, 0)).alias("good")).filter("good IS NOT NULL")
     sample = lambda kind: known.filter(F.col("good") == kind).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_labelled)
     labelled = cut(sample(1).unionByName(sample(0)), "labelled")
     rows = docs.join(F.broadcast(labelled), "doc_id", "left")  # 2 * max_labelled rows of an id and a mark, at most
-    counts = map_arrow(rows.select("text", F.coalesce(F.col("good") == 1, F.lit(False)).alias("good")), _count, "bucket long, raw long, target long")
+    counts = map_arrow(rows.select("text", F.coalesce((F.col("good") == 1) & half, F.lit(False)).alias("good")), _count, "bucket long, raw long, target long")
     counts = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # BUCKETS rows at most
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
     for b, r, t in counts:
@@ -136,7 +140,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     bits = F.shiftrightunsigned(F.xxhash64("doc_id", "text_key", F.lit(seed)), 11)
     uniform = (bits + 0.5) / F.lit(float(2**53))
     scored = cut(scored.withColumn("gumbel_key", F.col("log_ratio") / temperature - F.log(-F.log(uniform))), "scores")
-    seen = scored.filter("good IS NOT NULL AND log_ratio IS NOT NULL").groupBy(F.round("log_ratio", 3).alias("v"))
+    seen = scored.filter("good IS NOT NULL AND log_ratio IS NOT NULL").filter(~half).groupBy(F.round("log_ratio", 3).alias("v"))
     seen = [tuple(r) for r in seen.agg(F.sum("good"), F.sum(1 - F.col("good"))).collect()]
     both = any(g for _, g, _ in seen) and any(b for _, _, b in seen)
     least = _best_cut(seen) if both else -math.inf
