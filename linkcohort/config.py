@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import date
 
 # Raw ethnic group spellings and codes, by major group. Anything
 # else, including the explicit "missing" codes, has no group.
@@ -33,6 +34,15 @@ ETHNIC_GROUPS: dict[str, list[str]] = {
     ],
 }
 
+# Ethnic categories of hospital records, letters of the present coding and digits of the one before.
+HOSPITAL_ETHNICITY: dict[str, list[str]] = {
+    "white": ["A", "B", "C", "0"],
+    "black": ["M", "N", "P", "1", "2", "3"],
+    "mixed": ["D", "E", "F", "G"],
+    "asian": ["H", "J", "K", "L", "4", "5", "6"],
+    "other": ["R", "S", "7", "8"],
+}
+
 # First-language codes.
 LANGUAGE_GROUPS = {"English": ["1_ENG", "ENG", "ENB"], "Not English": ["2_OTH", "OTH", "OTB"]}
 
@@ -79,6 +89,7 @@ CENSUS_COLUMNS: dict[str, str] = {
     "fsmeligible": "fsmeligible",
     "idaci_decile": "idaci_",
     "senprovision": "senprovision_",
+    "urn": "^urn",
 }
 AP_COLUMNS: dict[str, str] = {
     "pmr": "^ap_pupilmatchingrefanonymous",
@@ -108,6 +119,7 @@ CENSUS_TYPES: dict[str, str] = {
     "pmr": "string", "ageatstart": "string", "ncyearactual": "string", "academicyear": "string",
     "gender": "string", "ethnicgroup": "string", "languagegroup": "string", "yearofbirth": "int",
     "monthofbirth": "int", "fsmeligible": "int", "idaci_decile": "int", "senprovision": "string",
+    "urn": "string",
 }
 ABSENCE_STEMS: dict[str, str] = {
     "sessionspossible": "sessionspossible",
@@ -163,6 +175,12 @@ class Config:
     window_end_inclusive: bool = False
     specialties: tuple[str, ...] = PAIN_SPECIALTIES
     chronic_label: str = "chronic"
+    hospital_demographics: bool = False  # sex, ethnic group and deprivation from hospital episodes as well
+    attended_only: bool = False  # contacts that took place
+    phenotype_from: date | None = None  # condition flags count codes of episodes that start in [from, to)
+    phenotype_to: date | None = None
+    exclusion_kinds: Mapping[str, tuple[str, ...]] = field(default_factory=dict)  # further flag: its categories
+    persistent_flags: Mapping[str, str] = field(default_factory=dict)  # further persistent-absence flag: its rate
     ethnic_groups: Mapping[str, list[str]] = field(default_factory=lambda: ETHNIC_GROUPS)
     compat: Compat = Compat()
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from linkcohort.config import Config
 from linkcohort.functions import any_true, count_true, month_date, september
 from linkcohort.operators import attach, dcast, eligibility, exists_summary, highest
-from linkcohort.plans.care import highest_social_care
+from linkcohort.plans.care import ATTENDED, highest_social_care
 from linkcohort.plans.phenotypes import PRESENTATIONS
 from linkcohort.plans.school import ANNUAL_RATES
 
@@ -33,10 +33,16 @@ def sen_summary(ever_rows: DataFrame) -> DataFrame:
 
 def phenotype_summary(codes: DataFrame, cfg: Config) -> DataFrame:
     groups = [cfg.chronic_label, *PRESENTATIONS.values()]
+    if cfg.phenotype_from is not None:
+        codes = codes.filter(F.col("epistart") >= F.lit(cfg.phenotype_from))
+    if cfg.phenotype_to is not None:
+        codes = codes.filter(F.col("epistart") < F.lit(cfg.phenotype_to))
     return exists_summary(codes, "tpid", {f"chc_{g}": F.col("phen_group") == g for g in groups})
 
 
-def contact_summary(contacts: DataFrame) -> DataFrame:
+def contact_summary(contacts: DataFrame, cfg: Config) -> DataFrame:
+    if cfg.attended_only:
+        contacts = contacts.filter(F.col("attended").isin(*ATTENDED))
     return contacts.groupBy("tpid").agg(F.lit(True).alias("ever_attended_cpc"), F.min("apptdate").alias("date_first_cpc"))
 
 
@@ -46,15 +52,16 @@ def enrolment_summary(rows: DataFrame) -> DataFrame:
     return exists_summary(rows, "pmr", {f"_in_y{y}": there & (F.col("year") == y) for y in NOT_ENROLLED_YEARS})
 
 
-def exclusion_summary(rows: DataFrame) -> DataFrame:
-    return exists_summary(rows, "pmr", {f"excluded_y{y}": F.col("year") == y for y in PANEL_YEARS})
+def exclusion_summary(rows: DataFrame, cfg: Config) -> DataFrame:
+    kinds = {n: F.col("exclusion_category").isin(list(values)) for n, values in cfg.exclusion_kinds.items()}
+    return exists_summary(rows, "pmr", {f"excluded_y{y}": F.col("year") == y for y in PANEL_YEARS} | kinds)
 
 
 def combine(spine: DataFrame, parts: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
     """Join the modules' results onto the spine and derive the flags across them.
 
     ``parts``: demographics_modals, demographics_y7, demographics_ever,
-    birth_records (school inception), phen_codes, enrolments, exclusions,
+    birth_records (school inception), hospital_demographics, phen_codes, enrolments, exclusions,
     absence, exams, contacts, social_care. A part left out leaves its columns out.
 
     Hospital-keyed results are joined first, then pupil-keyed ones, each set on
@@ -66,11 +73,13 @@ def combine(spine: DataFrame, parts: Mapping[str, DataFrame], cfg: Config) -> Da
     hospital, fill = [], {}
     if "birth_records" in have and cfg.inception == "school":
         hospital.append(parts["birth_records"])
+    if "hospital_demographics" in have:
+        hospital.append(parts["hospital_demographics"])
     if "phen_codes" in have:
         hospital.append(phenotype_summary(parts["phen_codes"], cfg))
         fill |= {f"chc_{g}": False for g in [cfg.chronic_label, *PRESENTATIONS.values()]}
     if "contacts" in have:
-        hospital.append(contact_summary(parts["contacts"]))
+        hospital.append(contact_summary(parts["contacts"], cfg))
         fill["ever_attended_cpc"] = False
     out = attach(spine, "tpid", *hospital, fill=fill, null_safe=null_safe)
 
@@ -85,10 +94,10 @@ def combine(spine: DataFrame, parts: Mapping[str, DataFrame], cfg: Config) -> Da
         school.append(enrolment_summary(parts["enrolments"]))
         fill |= {f"_in_y{y}": False for y in NOT_ENROLLED_YEARS}
     if "exclusions" in have:
-        school.append(exclusion_summary(parts["exclusions"]))
-        fill |= {f"excluded_y{y}": False for y in PANEL_YEARS}
+        school.append(exclusion_summary(parts["exclusions"], cfg))
+        fill |= {f"excluded_y{y}": False for y in PANEL_YEARS} | dict.fromkeys(cfg.exclusion_kinds, False)
     if "absence" in have:
-        school.append(dcast(parts["absence"], ["pmr"], "year", PANEL_YEARS, ABSENCE_VALUES))
+        school.append(dcast(parts["absence"], ["pmr"], "year", PANEL_YEARS, [*ABSENCE_VALUES, *cfg.persistent_flags]))
     if "exams" in have:
         school.append(parts["exams"])
     if "social_care" in have:
@@ -111,7 +120,7 @@ def combine(spine: DataFrame, parts: Mapping[str, DataFrame], cfg: Config) -> Da
     if "exclusions" in have:
         derived["ever_excluded"] = any_true([f"excluded_y{y}" for y in PANEL_YEARS])
     if "absence" in have:
-        derived["ever_pa10"] = any_true([f"pa10_{y}" for y in PANEL_YEARS])
+        derived |= {f"ever_{n}": any_true([f"{n}_{y}" for y in PANEL_YEARS]) for n in ("pa10", *cfg.persistent_flags)}
     if "social_care" in have:
         derived["highest_csc"] = highest_social_care()
     out = out.withColumns(derived).drop(*[f"_in_y{y}" for y in NOT_ENROLLED_YEARS])

@@ -8,15 +8,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkcohort.config import LANGUAGE_GROUPS, SEN_LEVELS, Config
-from linkcohort.functions import nullify, recode
+from linkcohort.config import HOSPITAL_ETHNICITY, IMD_DECILES, LANGUAGE_GROUPS, SEN_LEVELS, Config
+from linkcohort.functions import nullify, parse_date, recode
 from linkcohort.operators import ever, first_per, flag_by_lookup, modal, restrict_to
 from linkcohort.functions.values import flag_by_pattern
 from linkcohort.plans.census import READING_YEARS, academic_years, ap_rows, census_rows, pru_rows
-from linkcohort.sources import Tables, census_term, census_year, union_all, year_group
+from linkcohort.sources import Tables, census_term, census_year, discover, union_all, union_family, year_group
 
 MODAL_RAW = ["pmr", "gender", "ethnicgroup", "languagegroup", "yearofbirth", "monthofbirth"]
 MODALS = ["female", "ethnicgroup", "languagegroup", "yearofbirth", "monthofbirth"]
+HOSPITAL_MODALS = ["hospital_female", "hospital_ethnicgroup", "hospital_imd_decile"]
 
 
 def clean_demographics(df: DataFrame, cfg: Config, *also: str) -> DataFrame:
@@ -83,19 +84,18 @@ def year7_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFra
     return fsm.join(decile.withColumnRenamed("idaci_decile", "idaci_decile_y7"), "pmr")
 
 
-
-
 def ever_demographics(
-    tables: Tables, cfg: Config, spine: DataFrame, specialist: DataFrame | None = None
+    tables: Tables, cfg: Config, spine: DataFrame, register: DataFrame | None = None
 ) -> DataFrame:
     """Distinct (pmr, fsm_ever_primary, senprovision, specialist_school) worth keeping.
 
-    ``specialist`` may add rows (pmr, specialist_school) found by a school register,
-    see :func:`flag_specialist`.
+    With a school ``register`` (urn, type1, type2), census rows at a specialist
+    school count as such, see :func:`flag_specialist`.
     """
     keep = ["pmr", "fsmeligible", "senprovision"]
     age_year = year_group(READING_YEARS[:-1], "<", 11)
-    parts: list[DataFrame] = [census_rows(tables, cfg, cfg.primary_years[:-1], keep, age_year)]
+    school = ["urn"] if register is not None else []
+    parts: list[DataFrame] = [census_rows(tables, cfg, cfg.primary_years[:-1], [*keep, *school], age_year, lambda name: school)]
     ap = ap_rows(
         tables, cfg, keep,
         (F.col("academicyear") <= cfg.first_y7 - 1) & (F.col("ageatstart").try_cast("int") < 11),
@@ -106,16 +106,17 @@ def ever_demographics(
     if pru is not None:
         parts.append(pru.withColumn("source_table", F.lit("AP" if cfg.compat.pru_as_ap else "PRU")))
     rows = restrict_to(union_all(parts), spine, "pmr")
+    special = F.col("source_table").isin("AP", "PRU")
+    if register is not None:
+        rows = flag_specialist(rows, register)
+        special = special | F.col("specialist_school")
     rows = rows.select(
         "pmr",
         "fsmeligible",
         recode("senprovision", {**SEN_LEVELS}).alias("_known"),
         "senprovision",
-        F.when(F.col("source_table").isin("AP", "PRU"), F.lit(True)).alias("specialist_school"),
+        F.when(special, F.lit(True)).alias("specialist_school"),
     )
-    if specialist is not None:
-        more = restrict_to(specialist.filter("specialist_school").select("pmr", "specialist_school"), spine, "pmr")
-        rows = rows.unionByName(more.distinct(), allowMissingColumns=True)
     # codes on neither list stay as they are, apart from "N"
     rows = rows.withColumn("senprovision", F.coalesce("_known", nullify("senprovision", ["N"]))).drop("_known")
     return ever_flags(rows, cfg.strict_nulls)
@@ -140,7 +141,7 @@ def ever_flags(rows: DataFrame, strict_nulls: bool = False) -> DataFrame:
 
 def flag_specialist(rows: DataFrame, register: DataFrame) -> DataFrame:
     """Mark rows at a specialist school by looking their school up in the register."""
-    schools = register.select("urn", "type1", "type2")
+    schools = register.select(F.col("urn").cast("string").alias("urn"), "type1", "type2")
     cond = flag_by_pattern("special|alternative|pupil referral unit", "type1", "type2")
     return flag_by_lookup(rows, schools, "urn", cond, "specialist_school")
 
@@ -148,3 +149,26 @@ def flag_specialist(rows: DataFrame, register: DataFrame) -> DataFrame:
 def hospital_modal_demographics(df: DataFrame, cols: Sequence[str], cfg: Config, order_by: Sequence[str] = ("epistart",)) -> DataFrame:
     """Modal sex, ethnic group or deprivation from hospital rows, per tpid."""
     return modal(df.filter(F.col("tpid").isNotNull()), "tpid", cols, cfg.ties, order_by, cfg.seed)
+
+
+def hospital_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
+    """Each member's most frequent sex, ethnic group and deprivation decile in hospital episodes of primary school years.
+
+    Rows that repeat the values of an episode start count once; a column that a
+    year's extract lacks is missing there.
+    """
+    columns = {
+        "tpid": "^token_?person_?id$", "epistart": "^epistart$", "sex": "^sex$", "ethnos": "^ethnos$", "imd": "^imd04_decile$",
+    }
+    names = discover(tables, cfg.episode_tables, cfg.hospital_years)
+    optional = ["sex", "ethnos", "imd"]
+    rows = union_family(tables, names, columns, dict.fromkeys(columns, "string"), optional, F.col("tpid").isNotNull())
+    sex = nullify("sex", ["0", "9"])
+    rows = restrict_to(rows, spine, "tpid").select(
+        "tpid",
+        parse_date("epistart").alias("epistart"),
+        F.when(sex.isNotNull(), (sex == "2").cast("int")).alias("hospital_female"),
+        recode("ethnos", HOSPITAL_ETHNICITY).alias("hospital_ethnicgroup"),
+        recode("imd", IMD_DECILES).alias("hospital_imd_decile"),
+    )
+    return hospital_modal_demographics(rows.distinct(), HOSPITAL_MODALS, cfg)

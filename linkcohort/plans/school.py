@@ -81,7 +81,7 @@ def annual_absence(panel: DataFrame, cfg: Config, stems=tuple(ABSENCE_STEMS), te
 def absence(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
     """Absence rates per pupil and school year 7 to 11, and persistent absence."""
     panel = school_year_panel(absence_rows(tables, cfg), spine, "pmr", "academicyear", 7, 11)
-    return absence_rates(annual_absence(panel, cfg), cfg)
+    return absence_rates(annual_absence(panel, cfg), cfg, dict(cfg.persistent_flags))
 
 
 def absence_rates(df: DataFrame, cfg: Config, persistent: dict[str, str] | None = None) -> DataFrame:

@@ -24,7 +24,8 @@ class Study:
     ``tables`` is a session (its catalog's tables and views) or a mapping of names
     to DataFrames. ``codelists`` may hold births, multiple_still_births, chronic,
     presentations, presentations_medical, emergency_admissions; ``csv`` may hold
-    cin and cla. Modules whose inputs are missing are skipped.
+    cin and cla; ``register`` is a school register (urn, type1, type2). Modules whose
+    inputs are missing are skipped.
 
     Every step is written below ``root`` (by default the session's checkpoint
     folder) in a folder called ``name`` (by default one of its own for each run) and
@@ -39,6 +40,7 @@ class Study:
     csv: Mapping[str, DataFrame] | None = None
     root: str | None = None
     name: str = field(default_factory=lambda: f"study-{uuid.uuid4().hex}")
+    register: DataFrame | None = None
 
     @property
     def folder(self) -> str:
@@ -73,7 +75,7 @@ class Study:
             out |= {
                 "demographics_modals": demographics.modal_demographics(census, c, spine),
                 "demographics_y7": demographics.year7_demographics(census, c, spine),
-                "demographics_ever": demographics.ever_demographics(census, c, spine),
+                "demographics_ever": demographics.ever_demographics(census, c, spine, self.register),
                 "enrolments": school.enrolments(census, c, spine),
             }
         if self.has(c.exclusion_tables, c.secondary_years):
@@ -86,6 +88,8 @@ class Study:
             out["contacts"] = care.outpatient_contacts(t, c, spine)
         if c.inception == "school" and {"births", "multiple_still_births"} <= set(lists) and self.has(c.episode_tables, c.birth_years):
             out["birth_records"] = births.birth_characteristics(t, c, spine, lists["births"], lists["multiple_still_births"])
+        if c.hospital_demographics and self.has(c.episode_tables, c.hospital_years):
+            out["hospital_demographics"] = demographics.hospital_demographics(t, c, spine)
         needed = {"chronic", "presentations", "presentations_medical", "emergency_admissions"}
         if needed <= set(lists) and self.has(c.episode_tables, c.hospital_years):
             # written first: chronic conditions and presentations each read it

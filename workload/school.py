@@ -1,6 +1,7 @@
 """The study modules on the given tables in school and hospital shape."""
 
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -182,6 +183,16 @@ def q_ever_demographics_strict(d: Data):
     return demographics.ever_demographics(s.census_tables(d), replace(s.CONFIG, strict_nulls=True), s.spine(d))
 
 
+REGISTERED = EVER.replace("NULL AS special FROM census", f"""CASE WHEN urn IN (SELECT urn FROM register WHERE {' OR '.join(
+    f"coalesce({c}, '') ILIKE '%{w}%'" for c in ('type1', 'type2') for w in ('special', 'alternative', 'pupil referral unit'))}) THEN TRUE END AS special FROM census""")
+
+
+@case(f"{SCHOOL}, {s.REGISTER}, {REGISTERED} SELECT * FROM ever")
+def q_ever_demographics_register(d: Data):
+    """Specialist schools found in a school register as well."""
+    return demographics.ever_demographics(s.census_tables(d), s.CONFIG, s.spine(d), s.register(d))
+
+
 # Phenotypes ------------------------------------------------------------------
 
 HOSPITAL = f"WITH {s.SPINE}, {s.LONG}"
@@ -341,6 +352,15 @@ def q_hospital_modals(d: Data):
     return demographics.hospital_modal_demographics(rows, ["l_returnflag", "l_linestatus"], s.CONFIG)
 
 
+HOSPITAL_MODAL = f"""{s.HOSPITAL_SQL}, hospital AS (SELECT k.tpid, hospital_female, hospital_ethnicgroup, hospital_imd_decile FROM (SELECT DISTINCT tpid FROM hospital_rows) k
+  {' '.join(f'LEFT JOIN {mode_of("hospital_rows", "tpid", v)} m{i} ON m{i}.tpid = k.tpid' for i, v in enumerate(demographics.HOSPITAL_MODALS))})"""
+
+
+@case(f"WITH {s.SPINE}, {HOSPITAL_MODAL} SELECT * FROM hospital")
+def q_hospital_demographics(d: Data):
+    return demographics.hospital_demographics(s.episode_tables(d), s.CONFIG, s.spine(d))
+
+
 # Everything on the spine -----------------------------------------------------
 
 
@@ -417,3 +437,36 @@ def q_combine_births(d: Data):
     cfg = replace(s.BIRTH_CONFIG, inception="school")
     spine = _patients(d).withColumn("pmr", F.concat(F.lit("P"), F.substring("tpid", 2, 20)))
     return combine(spine, {"birth_records": births.birth_characteristics(s.birth_tables(d), cfg, spine, *s.birth_lists(d))}, cfg)
+
+
+OPTIONS = replace(
+    s.CONFIG, hospital_demographics=True, attended_only=True, phenotype_from=date(1992, 1, 1), phenotype_to=date(1994, 1, 1),
+    exclusion_kinds={"ever_fixed_term": ("FIXD", "LNCH"), "ever_permanent": ("PERM",)},
+    persistent_flags={"pa10_illness": "abs_illness_rate", "pa10_health": "abs_illness_appts_rate"},
+)
+OPTIONS_SQL = COMBINED
+for was, now in (
+    (SCHOOL, f"{SCHOOL}, {s.REGISTER}, {HOSPITAL_MODAL}"), (EVER, REGISTERED),
+    ("UNION ALL SELECT * FROM presenting) GROUP", "UNION ALL SELECT * FROM presenting) WHERE epistart >= DATE '1992-01-01' AND epistart < DATE '1994-01-01' GROUP"),
+    ("AS date_first_cpc FROM contacts", "AS date_first_cpc FROM contacts WHERE attended IN ('5', '6')"),
+    (" FROM excl GROUP BY 1", ", bool_or(exclusion_category IN ('FIXD', 'LNCH')) AS fixed, bool_or(exclusion_category = 'PERM') AS perm FROM excl GROUP BY 1"),
+    (" FROM absence GROUP BY 1", "".join(
+        f", bool_or({rate} >= 10) FILTER (WHERE year = {y}) AS {flag}_{y}" for flag, rate in OPTIONS.persistent_flags.items() for y in range(7, 12)) + " FROM absence GROUP BY 1"),
+    (" FROM spine sp LEFT JOIN modals", ", ho.hospital_female, ho.hospital_ethnicgroup, ho.hospital_imd_decile, coalesce(ex.fixed, FALSE) AS ever_fixed_term, coalesce(ex.perm, FALSE) AS ever_permanent, "
+     + ", ".join(f"ab.{flag}_{y}" for flag in OPTIONS.persistent_flags for y in range(7, 12)) + " FROM spine sp LEFT JOIN hospital ho ON ho.tpid = sp.tpid LEFT JOIN modals"),
+    (" FROM wide\n", ", " + ", ".join(f"({' OR '.join(f'{flag}_{y}' for y in range(7, 12))}) AS ever_{flag}" for flag in OPTIONS.persistent_flags) + " FROM wide\n"),
+):
+    assert OPTIONS_SQL.count(was) == 1, was
+    OPTIONS_SQL = OPTIONS_SQL.replace(was, now)
+
+
+@case(OPTIONS_SQL)
+def q_combine_options(d: Data):
+    """The wide dataset with every optional part."""
+    cfg, spine = OPTIONS, s.spine(d)
+    more = {
+        "demographics_ever": demographics.ever_demographics(s.census_tables(d), cfg, spine, s.register(d)),
+        "hospital_demographics": demographics.hospital_demographics(s.episode_tables(d), cfg, spine),
+        "absence": school.absence(s.absence_tables(d), cfg, spine),
+    }
+    return combine(spine, parts(d) | more, cfg)

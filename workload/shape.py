@@ -81,6 +81,7 @@ def _census(d: Data) -> dict[str, DataFrame]:
         F.when(F.col("o_totalprice") > 400000, 1).when(F.col("o_totalprice") > 50000, 0).alias("FSMeligible"),
         (1 + okey() % 10).cast("int").alias("IDACI_Decile"),
         pick(SEN, F.floor(okey() / 2)).alias("SENprovision"),
+        (okey() % 97).cast("string").alias("URN"),
         "o_orderdate",
     )
     return {
@@ -98,7 +99,21 @@ CENSUS = f"""census AS (SELECT 'P' || o_custkey AS pmr, CAST(year(o_orderdate) A
   {pick_sql(LANGUAGE, 'o_orderkey // 4')} AS lang, CAST(1984 + o_orderkey % 2 + o_custkey % 2 AS INTEGER) AS yob,
   CAST(1 + o_custkey % 12 AS INTEGER) AS mob,
   CASE WHEN o_totalprice > 400000 THEN 1 WHEN o_totalprice > 50000 THEN 0 END AS fsm,
-  CAST(1 + o_orderkey % 10 AS INTEGER) AS idaci, {pick_sql(SEN, 'o_orderkey // 2')} AS sen FROM orders)"""
+  CAST(1 + o_orderkey % 10 AS INTEGER) AS idaci, {pick_sql(SEN, 'o_orderkey // 2')} AS sen,
+  CAST(o_orderkey % 97 AS VARCHAR) AS urn FROM orders)"""
+
+SCHOOL_TYPES = ["Community school", "Foundation Special School", "Academy", "Other", "Free School Alternative Provision", "Nursery"]
+
+
+def register(d: Data) -> DataFrame:
+    key = F.col("s_suppkey")
+    return d.supplier.select(
+        key.alias("urn"), pick(SCHOOL_TYPES, key).alias("type1"), F.when(F.col("s_nationkey") == 7, "Pupil Referral Units").alias("type2"),
+    )
+
+
+REGISTER = f"""register AS (SELECT CAST(s_suppkey AS VARCHAR) AS urn, {pick_sql(SCHOOL_TYPES, 's_suppkey')} AS type1,
+  CASE WHEN s_nationkey = 7 THEN 'Pupil Referral Units' END AS type2 FROM supplier)"""
 
 
 def _ap(d: Data) -> DataFrame:
@@ -267,6 +282,9 @@ care AS (SELECT s.pmr, bool_or(cin) AS ever_cin, bool_or(cpp) AS ever_cpp, bool_
 
 CODES = ["J450", "J451", "F329", "X600", "E109", "R104", "F200", "F913", "K35", ""]
 OPS, ADMIMETH = ["", "A123", "B45", ""], ["21", "22", "11", "2A", "82"]
+SEX, ETHNOS = ["1", "2", "2", "9"], ["A", "C", "4", "M", "R", "Z", "G"]
+IMD = ["Most deprived 10%", "More deprived 20-30%", "Less deprived 40-50%", "Least deprived 10%", "Unknown"]
+IMD_SQL = "CASE {0} WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 6 WHEN 3 THEN 10 END"
 
 
 def line(name: str) -> Column:
@@ -313,11 +331,18 @@ def episode_tables(d: Data) -> dict[str, DataFrame]:
     cols = {
         "TOKEN_PERSON_ID": F.concat(F.lit("T"), line("partkey")), **_episode_dates(day), "ADMIMETH": pick(ADMIMETH, line("suppkey")),
         "STARTAGE": F.when(line("linenumber") == 1, 7001).otherwise((line("suppkey") % 18).cast("int")), **_diag3(), "OPERTN_01": pick(OPS, line("suppkey")),
+        "SEX": pick(SEX, line("orderkey")), "ETHNOS": pick(ETHNOS, line("orderkey")), "IMD04_DECILE": pick(IMD, line("suppkey")),
     }
     rows = d.lineitem.select(*_with_blank_codes(cols), "l_shipdate")
     return {f"HES_APC_{y - 6}": yearly(rows, "l_shipdate", y) for y in TERMS}
 
 
+HOSPITAL_SQL = f"""hospital_rows AS (SELECT DISTINCT 'T' || l_partkey AS tpid, CAST(l_shipdate AS DATE) AS epistart,
+    CASE {pick_sql(SEX, 'l_orderkey')} WHEN '2' THEN 1 WHEN '1' THEN 0 END AS hospital_female,
+    CASE {pick_sql(ETHNOS, 'l_orderkey')} WHEN 'A' THEN 'white' WHEN 'C' THEN 'white' WHEN '4' THEN 'asian' WHEN 'M' THEN 'black' WHEN 'R' THEN 'other' WHEN 'G' THEN 'mixed' END AS hospital_ethnicgroup,
+    {IMD_SQL.format('l_suppkey % 5')} AS hospital_imd_decile
+  FROM lineitem WHERE year(l_shipdate) BETWEEN 1995 AND 2001 AND 'T' || l_partkey IN (SELECT tpid FROM spine WHERE tpid IS NOT NULL))"""
+
 CHRONIC = [("E10", "", "metabolic"), ("J45", "LOS3", "respiratory"), ("J45.0", "AGE10", "asthma"), ("F20", "", "mental")]
 PRESENTING = [
     ("R10", "potentially_psych", ""), ("F32", "internalising", ""), ("F91.3", "externalising", ""), ("F200", "thought_disorder", ""),
@@ -376,8 +401,6 @@ presenting AS (SELECT em.tpid, em.y7_year, em.code, g.grp, em.epistart, g.grp AS
 BIRTHS = [("diag", "Z38"), ("hrg", "N03")]
 EXCLUDED = [("diag", "stillbirth", "P95"), ("diag", "stillbirth", "Z37.1"), ("diag", "termination", "O04.1"), ("diag", "multiple_births", "Z38.3")]
 BIRTH_CODES = ["Z380", "J450", "P071", "", "A099", "Z381", "P590", ""]
-IMD = ["Most deprived 10%", "More deprived 20-30%", "Less deprived 40-50%", "Least deprived 10%", "Unknown"]
-IMD_SQL = "CASE {0} WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 6 WHEN 3 THEN 10 END"
 
 
 def _rare(n: int, value, other) -> Column:

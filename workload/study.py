@@ -38,7 +38,7 @@ def q_study_school(d: Data):
     names = ("chronic", "presentations", "presentations_medical", "emergency_admissions")
     cin, cla = s.social_care_frames(d)
     lists = dict(zip(names, s.phenotype_lists(d)))
-    return Study(d.spark, tables, lists, s.CONFIG, {"cin": cin, "cla": cla}, folder(d)).run()
+    return Study(d.spark, tables, lists, s.CONFIG, {"cin": cin, "cla": cla}, root=folder(d)).run()
 
 
 @case(f"""
