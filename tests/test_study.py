@@ -4,6 +4,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkcohort.config import ALL_COMPAT, Config
 from linkcohort.plans.births import DIAG, OPERTN
@@ -246,3 +247,17 @@ def test_a_long_list_marks_the_same_births(spark):
     many = few + [("hrg", f"H{i:05d}") for i in range(30_000)]
     got = [sorted(r.tpid for r in mark_births(df, codelist(spark, c, ["field", "code"]), none).collect()) for c in (few, many)]
     assert got == [["p", "q", "r", "r"]] * 2
+
+
+def test_options_reach_the_combined_dataset(spark, tables, codelists, csv, tmp_path):
+    cfg = replace(
+        Config(), hospital_demographics=True, attended_only=True, phenotype_to=D(2000, 1, 1), exclusion_kinds={"ever_none": ("no such kind",)},
+        persistent_flags={"pa10_illness": "abs_illness_rate"},
+    )
+    placed = tables | {"Autumn_Census_2010": tables["Autumn_Census_2010"].withColumn("URN_AUT10", F.lit("9"))}
+    register = spark.createDataFrame([(9, "Community special school", None), (9, "Community Special School", None), (8, "Nursery", "x")], "urn int, type1 string, type2 string")
+    p = {r.pmr: r for r in Study(spark, placed, codelists, cfg, csv, str(tmp_path), register=register).run().collect()}
+    assert p["a"].highest_sen_primary == "Specialist provision"  # found in the register alone
+    assert (p["a"].hospital_imd_decile, p["a"].hospital_female, p["b"].hospital_imd_decile) == (1, None, None)
+    assert p["a"].chc_chronic is False and p["b"].chc_chronic is None  # all its episodes are later
+    assert not any(r.ever_none for r in p.values()) and "ever_pa10_illness" in p["a"].asDict()
