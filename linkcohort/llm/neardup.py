@@ -274,6 +274,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     component_id of what they are linked with, and are kept only if that is none.
     No rows give none; further columns are ignored.
     """
+    return _judged(docs, s).drop("comp")
+
+
+def _judged(docs: DataFrame, s: Settings) -> DataFrame:
+    """As :func:`near_duplicates`, with comp: the smallest node of the component, which tells components whatever their ids."""
     signed = cut(signatures(docs, s), "signatures")
     nodes = signed.filter("node IS NOT NULL").groupBy("node").agg(F.first("signature").alias("signature"), F.min("doc_id").alias("least"))
     clusters = cut(components(candidate_edges(nodes.select("node", "signature"), s), "a", "b"), "clusters")
@@ -281,19 +286,21 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     comps = components(_true_links(members, s), "a", "b")
     ids = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     least = ids.join(comps, "node", "left").groupBy(F.coalesce("comp", "node").alias("comp")).agg(F.min("least").alias("component"))
-    found = ids.join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(least, "comp").select("node", "component")
+    found = ids.join(comps, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(least, "comp").select("node", "comp", "component")
     out = signed.select("doc_id", "text_key", "n_shingles", "node").join(cut(found, "components"), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key", "comp")
 
 
 def drop_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row of each group of near-duplicates, with all columns: the one with the smallest id.
 
     Of rows that repeat an id and text within a group, one stays; texts without words all stay.
+    Groups are told by their links, so rows without an id, or with the same one, are
+    dropped only where their texts are linked.
     """
-    kept = near_duplicates(docs, s).filter("kept")
-    worded = kept.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("r")).select("r.*")
+    kept = _judged(docs, s).filter("kept")
+    worded = kept.filter("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "text_key")).alias("r")).select("r.*")
     blank = kept.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
     keys = worded.unionByName(blank).select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
     key = docs["doc_id"].eqNullSafe(F.col("_kept_id")) & (text_key(docs) == F.col("_kept_key"))

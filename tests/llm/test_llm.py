@@ -116,6 +116,15 @@ def test_near_duplicates(spark, docs, none, block):
         assert neardup.near_duplicates(none).count() == 0
 
 
+def test_unlinked_texts_that_share_an_id_or_have_none_all_stay(spark):
+    a, b, c, d, e = (prose(60, 700 + i) for i in range(5))
+    rows = [(None, a), (None, b), (None, b + " end"), (7, c), (7, d), (7, d), (9, d + " end"), (8, e), (None, e), (None, "  "), (None, None)]
+    left = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted(map(tuple, left.collect()), key=str)
+    assert [x for x in got if x[1] and x[1].startswith(b)] in ([(None, b)], [(None, b + " end")])
+    assert [x for x in got if not (x[1] and x[1].startswith(b))] == sorted([(None, a), (7, c), (7, d), (8, e), (None, "  "), (None, None)], key=str)
+
+
 def test_posterior_bound_is_the_binomial_tail():
     s = neardup.Settings(percent=85, bands=25, rows=5)
     assert neardup.least_matches(s)[0] == 3 and neardup.least_matches(s) == sorted(neardup.least_matches(s))
