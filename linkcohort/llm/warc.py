@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -97,8 +98,8 @@ class Damaged(Exception):
 
 def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at ``at``, all checks passed."""
-    stop = data.find(END, at)
-    if data[at:at + len(VERSION)] != VERSION or stop < 0:
+    stop = data.find(END, at) if data.startswith(VERSION, at) else -1
+    if stop < 0:
         raise Damaged("no header")
     try:
         lines = data[at:stop].decode().split("\r\n")[1:]
@@ -110,7 +111,7 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     if length < 0 or data[end:end + 4] != END:
         raise Damaged("length")
     after = data[end + 4:end + 4 + len(VERSION)]
-    sure = end + 4 if after in (b"", VERSION) else None
+    sure = end + 4 if after in (b"", VERSION) or after.startswith(MAGIC) else None
     block = data[start:end]
     if (want := head.get("warc-block-digest")) and want != "sha1:" + hashlib.sha1(block).hexdigest():
         raise Damaged("block digest", sure)
@@ -155,32 +156,49 @@ def _member(data: memoryview, at: int, step: int = 1 << 15) -> tuple[bytes, int]
     return b"".join(out), min(pos, len(data)) - len(z.unused_data)
 
 
+def _piece(data: bytes, view: memoryview, at: int) -> tuple[Iterator[tuple], int]:
+    """What the gzip member or the plain record at ``at`` holds, and its end; at least one record, or an empty member."""
+    if data.startswith(VERSION, at):
+        head, block, end = parse_record(data, at)
+        return iter([("record", at, end, head, block)]), end
+    if not data.startswith(MAGIC, at):
+        raise Damaged("no header")
+    raw, end = _member(view, at)
+    found = records_in(raw)
+    first = next(found, None)
+    if first is None:
+        return iter(()), end
+    if first[0] == "gap" and first[2] == len(raw):
+        raise Damaged(first[3], end)
+    return ((x[0], at, end, *x[3:]) for x in chain([first], found)), end
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
-    """As :func:`records_in`, of an archive that is plain or holds gzip members, whichever follows.
+    """As :func:`records_in`, of an archive of plain records, gzip members or both, whichever follows.
 
     After a failed check the next valid member or version line is searched; the
-    bytes passed over are a gap.
+    bytes passed over are a gap, as are members that hold no record.
     """
-    if data[:2] != MAGIC[:2] and data.find(MAGIC) < 0:
-        yield from records_in(data)
-        return
     view, at, gap, why = memoryview(data), 0, None, ""
+    following = {MAGIC: 0, VERSION: 0}  # where each occurs next; searched again only when passed
     while at < len(data):
         try:
-            if data[at:at + 3] != MAGIC:
-                raise Damaged("no member")
-            raw, end = _member(view, at)
+            found, end = _piece(data, view, at)
         except Damaged as bad:
             if gap is None:
                 gap, why = at, str(bad)
-            found = data.find(MAGIC, at + 1)
-            at = found if found >= 0 else len(data)
+            at = bad.end or at + 1
+            for mark, place in following.items():
+                if place < at:
+                    place = data.find(mark, at)
+                    following[mark] = place if place >= 0 else len(data)
+            if not bad.end:
+                at = min(following.values())
             continue
         if gap is not None:
             yield "gap", gap, at, why
             gap = None
-        for x in records_in(raw):
-            yield (x[0], at, end, *x[3:])
+        yield from found
         at = end
     if gap is not None:
         yield "gap", gap, len(data), why
@@ -215,10 +233,11 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFra
     """Rows of kind record, and of kind gap for the bytes that could not be read, with archive, start, end and why.
 
     One archive is read at a time; ``payloads`` adds the bytes of each. An empty
-    folder gives no rows.
+    folder gives no rows. Files of any name are archives, but for those that Spark
+    takes for hidden (a leading ``_`` or ``.``).
     """
     schema = _OUT + (", payload binary" if payloads else "")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = arrow_schema(schema)

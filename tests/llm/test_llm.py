@@ -268,6 +268,45 @@ def test_salvage(spark, compress):
     assert list(warc.salvage(b"")) == [] and [x[0] for x in warc.salvage(b"junk")] == ["gap"]
 
 
+def warc_record(i, block):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Block-Digest: sha1:{hashlib.sha1(block).hexdigest()}\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + warc.END
+
+
+def salvaged(parts, damaged=()):
+    """Page ids and gaps, as numbers of the parts, of an archive of these parts with a byte turned in some."""
+    starts = [sum(map(len, parts[:i])) for i in range(len(parts) + 1)]
+    data = bytearray(b"".join(parts))
+    for i in damaged:
+        data[starts[i + 1] - 30] ^= 0xFF
+    found = list(warc.salvage(bytes(data)))
+    return [warc._urn(x[3]["warc-record-id"]) for x in found if x[0] == "record"], [(starts.index(x[1]), starts.index(x[2])) for x in found if x[0] == "gap"]
+
+
+def test_salvage_of_plain_records_with_gzip_bodies_and_of_mixed_archives():
+    body = gzip.compress(b"a page " * 200, mtime=0)
+    blocks = [b"plain one " * 30, b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\n" + body, body, b"plain two " * 30, b"plain three " * 30]
+    plain = [warc_record(i, b) for i, b in enumerate(blocks)]
+    assert salvaged(plain) == ([0, 1, 2, 3, 4], [])
+    assert salvaged(plain, damaged=[3]) == ([0, 1, 2, 4], [(3, 4)])
+    assert salvaged(plain, damaged=[1, 2]) == ([0, 3, 4], [(1, 3)])
+    cut_short = plain[1][:-20]  # its declared end is not where it ends, and a valid member that holds no record lies in it
+    whole = plain[1].replace(body, body + b"?" * 40)
+    assert salvaged([plain[0], whole[:-30], plain[3]]) == ([0, 3], [(1, 2)]) and salvaged([plain[0], cut_short, plain[4]]) == ([0, 4], [(1, 2)])
+    mixed = [r if i % 2 else gzip.compress(r, mtime=0) for i, r in enumerate(plain)]
+    assert salvaged(mixed) == ([0, 1, 2, 3, 4], [])
+    assert salvaged([mixed[0], mixed[2], *plain[3:], mixed[4]], damaged=[1]) == ([0, 3, 4, 4], [(1, 2)])
+    assert salvaged([mixed[0], plain[3], mixed[2], plain[4]], damaged=[1]) == ([0, 2, 4], [(1, 2)])
+
+
+def test_archives_of_any_name_are_read(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(warc_record(1, b"one") + b"junk")
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(warc_record(2, b"two")))
+    (tmp_path / "_SUCCESS").write_bytes(b"")
+    got = warc.read_warc(spark, str(tmp_path)).collect()
+    assert sorted((r.kind, r.archive.rsplit("/")[-1], r.page_id) for r in got) == [("gap", "a.warc", None), ("record", "a.warc", 1), ("record", "b.warc.gz", 2)]
+
+
 def test_sharding(docs, none):
     eight, nine = sharding.tree(8), sharding.tree(9)
     rows = sharding.shard_documents(docs, eight, nine, cell_rows=4).collect()
