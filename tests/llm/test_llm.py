@@ -155,6 +155,19 @@ def test_secrets(docs, none):
     assert credentials.find_secrets(none).count() == 0
 
 
+def test_secrets_without_a_digit_are_scored(spark):
+    r = random.Random(12)
+    letters = lambda: "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(20))
+    plain = lambda: r.choice(["-" * r.randint(12, 80), "=" * r.randint(12, 80), r.choice("-_/").join(r.choice(["alpha", "River", "stone", "BETA", "moon"]) for _ in range(8))])
+    rows = [(i, f"{prose(20, 900 + i)} token = {letters()} {plain()} {prose(20, 1900 + i)}") for i in range(200)]
+    own = {1000 + i: letters() for i in range(60)}
+    rows += [(i, f"{prose(3, i)} {x} {prose(40, i)}") for i, x in own.items()]
+    got = {x.doc_id: x.spans for x in credentials.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    found = [i for i, x in own.items() if got[i] == f"format:{text[i].index(x)}:{text[i].index(x) + 20}"]
+    assert len(found) >= 54 and not any("format" in got[i] for i in range(200))
+
+
 def test_formats_tell_held_out_secrets_from_words():
     r = random.Random(2)
     key = lambda: "key-" + "".join(r.choice("0123456789abcdef") for _ in range(24))
