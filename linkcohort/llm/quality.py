@@ -95,7 +95,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     """doc_id, text_key, n_grams, log_ratio, gumbel_key, kept of every row of ``docs`` (doc_id, text).
 
     ``labels`` (doc_id, quality, toxic): the target model counts the documents of
-    quality 1 that are not toxic, the raw model counts all documents. log_ratio is
+    quality 1 that are not toxic, the raw model counts all documents; those of
+    quality 0 and toxic ones are bad. log_ratio is
     the mean log ratio of the two over the n-grams of a text. As many documents are
     kept as lie above the value that best parts the labelled ones, of which one half
     is for the target model and the other for this, drawn with
@@ -111,7 +112,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     docs = docs.select(docs["doc_id"].alias("doc_id"), "text")
     half = F.xxhash64("doc_id", F.lit(seed + 1)) % 2 == 0
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.when(good, 1).when(F.col("quality") == 0, 0)).alias("good")).filter("good IS NOT NULL")
+    known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.when(good, 1).when((F.col("quality") == 0) | (F.col("toxic") == 1), 0)).alias("good")).filter("good IS NOT NULL")
     sample = lambda kind: known.filter(F.col("good") == kind).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_labelled)
     labelled = cut(sample(1).unionByName(sample(0)), "labelled")
     rows = docs.join(F.broadcast(labelled), "doc_id", "left")  # 2 * max_labelled rows of an id and a mark, at most

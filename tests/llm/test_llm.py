@@ -365,6 +365,14 @@ def test_quality(spark, docs, none):
     assert kept.columns == df.columns and kept.count() == sum(got.values())
 
 
+def test_toxic_documents_are_bad_whatever_their_quality(spark):
+    rows = [(i, prose(40, i), 0) for i in range(120)] + [(200 + i, " ".join("$%& ###" for _ in range(20 + i)), 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = df.filter("doc_id % 2 = 0").select("doc_id", F.lit(1).alias("quality"), "toxic")
+    got = {r.doc_id: r.kept for r in quality.score_documents(df, labels).collect()}
+    assert sum(got[i] for i in range(120)) >= 112 and not any(got[200 + i] for i in range(30))
+
+
 def test_kth_largest(spark):
     values = [random.Random(9).gauss(0, 1) for _ in range(3000)] + [0.5] * 500
     df = spark.createDataFrame([(v,) for v in values], "x double")
