@@ -46,7 +46,7 @@ STAGES = [
     ("tokens", encode),
 ]
 
-# The classifier's model and the tokens are beyond SQL; the stages are tested against plain Python.
+# The classifier's model and the tokens are beyond SQL; the README says what of the stages is tested.
 ORACLE_SQL = None
 
 
