@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linkcohort.llm.bpe import encode_documents
 from linkcohort.llm.credentials import find_secrets
 from linkcohort.llm.decontaminate import find_contamination
+from linkcohort.llm.dialogue import repair_conversations
 from linkcohort.llm.fingerprint import compare_neighbours
 from linkcohort.llm.neardup import Settings, near_duplicates
 from linkcohort.llm.pii import find_personal
@@ -79,11 +80,16 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels")).drop("text_key")
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(_table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_near_duplicates, op3_secrets, op4_shards, op5_urls,
         op6_bpe, op7_fingerprints, op8_warc, op9_personal_data, op10_quality,
+        op11_conversations,
     )
 }
 
