@@ -15,6 +15,7 @@ from linkcohort.llm.neardup import Settings, near_duplicates
 from linkcohort.llm.pii import find_personal
 from linkcohort.llm.quality import score_documents
 from linkcohort.llm.sharding import shard_documents, tree
+from linkcohort.llm.spelling import group_variants
 from linkcohort.llm.urls import Rule, UrlFilter, labelled_by_rules
 from linkcohort.llm.warc import read_warc, write_warc
 
@@ -84,12 +85,16 @@ def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return repair_conversations(_table(spark, folder, "conversations"))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return group_variants(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_near_duplicates, op3_secrets, op4_shards, op5_urls,
         op6_bpe, op7_fingerprints, op8_warc, op9_personal_data, op10_quality,
-        op11_conversations,
+        op11_conversations, op12_spelling,
     )
 }
 
@@ -97,6 +102,14 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _OP1_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _OP2_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 
+_CRC_TABLE = """
+    SELECT list(c ORDER BY i) AS tab FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+        FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+    )"""
+_BYTES = "flatten(list_transform(string_split({0}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END))"
+_CRC = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {_BYTES}), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)"
+
 SQL: dict[str, str] = {
     "op1_decontaminate": f"""
         WITH words AS (SELECT doc_id, {_OP1_WORDS} AS w FROM documents),
@@ -155,4 +168,34 @@ SQL: dict[str, str] = {
             CASE WHEN f.f <> p.page_id THEN f.f END AS refers_to
         FROM payloads p LEFT JOIN firsts f ON p.d = f.d AND p.n >= 1000
     """,
+    "op12_spelling": f"""
+        WITH RECURSIVE crc AS ({_CRC_TABLE}),
+        runs AS (
+            SELECT doc_id, run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+            WHERE length(run) >= 6 GROUP BY doc_id, run
+        ),
+        hashed AS (SELECT run, n, {_CRC.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc),
+        damaged AS (
+            SELECT n, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+        ),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        gaps AS (SELECT word, n, i, left(word, i - 1) AS front, substr(word, i + 1) AS back FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.i = b.i AND a.front = b.front AND a.back = b.back AND a.word <> b.word
+            UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.front || g.back = w.word
+            UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.front || g.back = w.word
+        ),
+        ranked AS (
+            SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS k FROM near
+        ),
+        forms AS (
+            SELECT w.word, w.n, CAST(coalesce(r.n_near, 0) AS BIGINT) AS n_near,
+                CASE WHEN r.n >= 5 * w.n THEN r.other END AS form, CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+            FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.k = 1
+        ),
+        ways(word, here) AS (SELECT word, word FROM words UNION ALL SELECT y.word, f.form FROM ways y JOIN forms f ON y.here = f.word WHERE f.form IS NOT NULL)
+        SELECT f.word, f.form, y.here AS root, f.n, f.n_near, f.form_n
+        FROM forms f JOIN ways y ON y.word = f.word JOIN forms e ON e.word = y.here AND e.form IS NULL
+    """,
 }
