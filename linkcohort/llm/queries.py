@@ -11,6 +11,7 @@ from linkcohort.llm.credentials import find_secrets
 from linkcohort.llm.decontaminate import find_contamination
 from linkcohort.llm.dialogue import repair_conversations
 from linkcohort.llm.fingerprint import compare_neighbours
+from linkcohort.llm.lm import score_documents as score_language
 from linkcohort.llm.neardup import Settings, near_duplicates
 from linkcohort.llm.pii import find_personal
 from linkcohort.llm.quality import score_documents
@@ -89,12 +90,16 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return group_variants(_table(spark, folder, "documents"))
 
 
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    return score_language(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_near_duplicates, op3_secrets, op4_shards, op5_urls,
         op6_bpe, op7_fingerprints, op8_warc, op9_personal_data, op10_quality,
-        op11_conversations, op12_spelling,
+        op11_conversations, op12_spelling, op13_language,
     )
 }
 
