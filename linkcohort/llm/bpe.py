@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 import unicodedata
@@ -17,7 +18,9 @@ from pyspark.sql import DataFrame
 from linkcohort.llm.common import arrow_schema, map_arrow
 
 CACHED = 200_000  # words a worker remembers; then it starts anew
-NO_RANK = 1 << 60
+SHORT = 64  # bytes of a word whose tree is worked beside others, and which is remembered
+TOGETHER = 8_192  # words whose trees are worked side by side
+NO_RANK = 1 << 40
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 TAILS = "'s|'t|'re|'ve|'m|'ll|'d"
 WORDS = regex.compile(rf"{TAILS}|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
@@ -97,6 +100,85 @@ class PairTree:
         return out
 
 
+class PairTrees:
+    """The segment trees of many words of up to ``size`` symbols (a power of two), one merge in each of them a round.
+
+    A tree is as in ``PairTree``, of vocabulary ids: node ``k`` of all words is row
+    ``k`` of ``node``. Words without a pair to merge leave the rounds.
+    """
+
+    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, size: int, merges: Merges):
+        """``symbols`` of all words, one word after the other."""
+        self.size, self.bits, self.merges, n = size, size.bit_length() - 1, merges, len(lengths)
+        self.none = NO_RANK << self.bits
+        at = np.arange(size)[:, None]
+        there = at < lengths
+        self.sym = np.zeros((size + 1, n), np.int64)
+        self.sym[:size].T[there.T] = symbols
+        self.next = np.where(at + 1 < lengths, at + 1, size)
+        self.prev = np.repeat(np.arange(-1, size)[:, None], n, 1)  # of ``size``, the end, too
+        self.node = np.full((2 * size, n), self.none)
+        word, place = np.nonzero((at + 1 < lengths).T)
+        rank = merges.ranks(self.sym[place, word], self.sym[place + 1, word])
+        self.node[size + place, word] = np.where(rank < NO_RANK, rank << self.bits | place, self.none)
+        for k in range(size - 1, 0, -1):
+            np.minimum(self.node[2 * k], self.node[2 * k + 1], out=self.node[k])
+
+    def leaf(self, i: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The value of the pair that begins at ``i``."""
+        j = self.next[i, rows]
+        rank = self.merges.ranks(self.sym[i, rows], self.sym[j, rows])
+        return np.where((j < self.size) & (rank < NO_RANK), rank << self.bits | i, self.none)
+
+    def merge(self) -> list[list[int]]:
+        rows, node, size = np.arange(self.node.shape[1]), self.node, self.size
+        while True:
+            root = node[1, rows]
+            rows, root = rows[root < self.none], root[root < self.none]
+            if not len(rows):
+                break
+            i = root & (size - 1)
+            j = self.next[i, rows]
+            k = self.next[j, rows]
+            self.sym[i, rows] = self.merges.result[root >> self.bits]
+            self.next[i, rows] = k
+            self.next[j, rows] = size
+            self.prev[k, rows] = i
+            p = self.prev[i, rows]
+            left = np.where(p < 0, i, p)
+            node[size + j, rows] = self.none
+            node[size + i, rows] = self.leaf(i, rows)
+            node[size + left, rows] = self.leaf(left, rows)
+            changed = [size + i, size + j, size + left]
+            for _ in range(self.bits):
+                changed = [at >> 1 for at in changed]
+                for at in changed:
+                    node[at, rows] = np.minimum(node[2 * at, rows], node[2 * at + 1, rows])
+        out, at = [[] for _ in range(node.shape[1])], np.zeros(node.shape[1], np.int64)
+        rows = np.arange(node.shape[1])
+        while len(rows):
+            for row, s in zip(rows.tolist(), self.sym[at, rows].tolist()):
+                out[row].append(s)
+            at = self.next[at, rows]
+            rows, at = rows[at < size], at[at < size]
+        return out
+
+
+class Merges:
+    """Ranks of pairs of ids, and the id that each rank makes."""
+
+    def __init__(self, pairs: list[tuple[int, int]], result: list[int], ids: int):
+        self.ids, self.result = ids, np.array(result, np.int64)
+        keys = np.array([a * ids + b for a, b in pairs], np.int64)
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a * self.ids + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.order[at], NO_RANK)
+
+
 class Encoder:
     """Encodes texts to ids as the vocabulary's own library does, and ids back to text."""
 
@@ -106,12 +188,15 @@ class Encoder:
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        self.merges = Merges([(self.ids[a], self.ids[b]) for a, b in self.ranks], [self.ids[a + b] for a, b in self.ranks], len(self.ids))
         self.end = model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = byte_letters()
-        self.known: dict[str, str] = {}
+        self.first = np.array([self.ids[self.letters[b]] for b in range(256)])
+        self.last = np.array([self.ids[self.letters[b] + self.end] for b in range(256)])
+        self.known: dict[str, tuple[str, str]] = {}
 
     def normalise(self, text: str) -> str:
         if text.isascii():
@@ -119,43 +204,68 @@ class Encoder:
         text = SPACES.sub(" ", unicodedata.normalize("NFC", text))
         return "".join(c.lower() for c in text) if "Σ" in text else text.lower()  # a final sigma is not special here
 
-    def word(self, word: str) -> str:
-        """The ids of one word, in decimal, joined by spaces."""
-        symbols = [self.letters[b] for b in word.encode()]
-        symbols[-1] += self.end
-        return " ".join([str(self.ids[s]) for s in PairTree(symbols, self.ranks).merge()])
-
-    def encode(self, text: str) -> str:
-        """All ids of a text, in decimal, joined by spaces."""
-        known, out = self.known, []
+    def words(self, text: str) -> list[str]:
+        """The words of a text in order; a special token is a word of its own, with a leading blank to tell it."""
+        out = []
         for part in self.split_special.split(text) if "<|" in text else (text,):
             if part in self.special:
-                out.append(str(self.special[part]))
+                out.append(" " + part)
                 continue
             part = self.normalise(part)
-            for w in (ASCII_WORDS if part.isascii() else WORDS).findall(part):
-                ids = known.get(w)
-                if ids is None:
-                    ids = self.word(w)
-                    if len(w) <= 64:
-                        if len(known) >= CACHED:
-                            known.clear()
-                        known[w] = ids
-                out.append(ids)
-        return " ".join(out)
+            out += (ASCII_WORDS if part.isascii() else WORDS).findall(part)
+        return out
+
+    def merged(self, words: list[str]) -> Iterator[list[int]]:
+        """The ids of each word: short words by length, their trees side by side, longer ones one by one."""
+        found: dict[str, list[int]] = {}
+        classes: dict[int, list[tuple[str, bytes]]] = {}
+        for w in words:
+            data = w.encode()
+            if w[0] == " ":
+                found[w] = [self.special[w[1:]]]
+            elif len(data) > SHORT:
+                symbols = [self.letters[b] for b in data]
+                symbols[-1] += self.end
+                found[w] = [self.ids[x] for x in PairTree(symbols, self.ranks).merge()]
+            else:
+                classes.setdefault(1 << (len(data) - 1).bit_length(), []).append((w, data))
+        for size, own in classes.items():
+            for at in range(0, len(own), TOGETHER):
+                part = own[at : at + TOGETHER]
+                lengths = np.array([len(data) for _, data in part])
+                letters = np.frombuffer(b"".join([data for _, data in part]), np.uint8)
+                symbols, ends = self.first[letters], np.cumsum(lengths) - 1
+                symbols[ends] = self.last[letters[ends]]
+                found.update(zip([w for w, _ in part], PairTrees(symbols, lengths, size, self.merges).merge()))
+        for w in words:
+            yield found[w]
+
+    def encode(self, text: str) -> str:
+        """All ids of a text, in decimal, joined by spaces."""
+        return next(self.encode_all([text]))[0]
 
     def decode(self, ids: str) -> str:
-        """The text of ids: the vocabulary names no decoder, so its tokens joined by spaces."""
-        if not ids:
-            return ""
-        tokens = self.names
-        return " ".join([tokens[i] for i in ids.split(" ")])
+        return " ".join([self.tokens[int(i)] for i in ids.split()])
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Of each text all ids, in decimal, and the tokens they decode to, both joined by spaces.
 
-    @property
-    def names(self) -> dict[str, str]:
-        if not hasattr(self, "_names"):
-            self._names = {str(i): t for i, t in self.tokens.items()}
-        return self._names
+        The vocabulary names no decoder, so the decoded text is just that. The words
+        that no earlier text held are merged together first.
+        """
+        split = [self.words(t) for t in texts]
+        if len(self.known) >= CACHED:
+            self.known = {}
+        known, names = self.known, self.tokens
+        new = [w for w in dict.fromkeys(itertools.chain.from_iterable(split)) if w not in known]
+        for w, ids in zip(new, self.merged(new)):
+            known[w] = " ".join(map(str, ids)), " ".join([names[i] for i in ids])
+        for words in split:
+            pieces = [known[w] for w in words]
+            yield " ".join([ids for ids, _ in pieces]), " ".join([back for _, back in pieces])
+        for w in new:
+            if len(w) > SHORT:
+                del known[w]
 
 
 @cache
@@ -168,7 +278,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, outputs: Sequence[str] =
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of ``docs``; ``outputs`` may add ``ids`` (array<int>) and ``decoded``.
 
     A map over the rows: nothing is shuffled, and a worker holds a few texts, the
-    vocabulary and at most ``CACHED`` words. Whole texts are encoded, a word of any
+    vocabulary and about ``CACHED`` words. Whole texts are encoded, a word of any
     length in n log n steps. NULL text is empty and has no ids; repeated rows are
     encoded each; further columns are ignored. ``vocabulary`` is a path that all
     executors have, as that of an installed package. Characters that this Python's
@@ -183,9 +293,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, outputs: Sequence[str] =
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 cols: list[list] = [[] for _ in range(3 + len(outputs))]
-                for text in part.column(1):
-                    ids = enc.encode(text.as_py() or "")
-                    back = enc.decode(ids)
+                for ids, back in enc.encode_all([t or "" for t in part.column(1).to_pylist()]):
                     more = {"ids": np.array(ids.split(" ") if ids else [], np.int32) if "ids" in outputs else None, "decoded": back}
                     row = (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), *[more[o] for o in outputs])
                     for col, value in zip(cols, row):
