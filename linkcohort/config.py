@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 # Raw ethnic group spellings and codes, by major group. Anything
 # else, including the explicit "missing" codes, has no group.
@@ -151,7 +151,10 @@ ALL_COMPAT = Compat(*[True] * 7)
 @dataclass(frozen=True)
 class Config:
     birth_cohorts: tuple[int, ...] = (2003, 2004, 2005)
-    inception: str = "school"  # or "birth"
+    inception: str = "school"  # or "birth", or "event": the first hospital episode with a listed diagnosis
+    event_from: date | None = None  # index events lie in [from, to)
+    event_to: date | None = None
+    event_clear_days: int = 365  # with no such event in so many days before
 
     census_tables: str = "Autumn|Spring|Summer"
     census_exclude: str = "Schools|Disability"
@@ -210,6 +213,14 @@ class Config:
     def birth_years(self) -> range:
         return range(min(self.birth_cohorts) - 1, max(self.birth_cohorts) + 1)
 
+    @property
+    def event_years(self) -> range | None:
+        """Financial years that hold the index events and the days looked back over; all, if either end is open."""
+        if self.event_from is None or self.event_to is None:
+            return None
+        first = self.event_from - timedelta(days=self.event_clear_days)
+        return range(first.year - (first.month < 4), self.event_to.year + 1)
+
     @property
     def secondary_years(self) -> range:
         """Academic years from year 7 of the first cohort to year 11 of the last."""

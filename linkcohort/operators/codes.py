@@ -56,6 +56,12 @@ def unpack_codes(
     return long.select(*ids, code.alias("code"), kind.alias("code_type"), number.alias("code_no"))
 
 
+def prefixes(code: Column | str, lengths: Sequence[int]) -> Column:
+    """The code's first k characters for each k, of those lengths that it has."""
+    c = F.col(code) if isinstance(code, str) else code
+    return F.filter(F.array(*[F.when(F.length(c) >= k, F.substring(c, 1, k)) for k in sorted(set(lengths))]), lambda p: p.isNotNull())
+
+
 def match_codes(
     df: DataFrame,
     codes: DataFrame,
@@ -68,19 +74,27 @@ def match_codes(
 
     Entries are compared by equality with the code's first k characters, for each
     k in ``lengths``; a longer entry overrides a shorter one. An entry listed
-    several times yields a row per listing. Codelists are small, so the optimizer
-    broadcasts them where their size allows and shuffles otherwise.
+    several times yields a row per listing.
+
+    Rows are read once whatever the lengths: each is expanded by its compared
+    prefixes, all are looked up in one join, which the optimizer broadcasts where
+    the codelist's size allows and shuffles otherwise, and of each row that
+    matched the longest is kept by a partial aggregate. Rows without a match do
+    not go beyond the join.
     """
-    entries = codes.groupBy("code").agg(F.collect_list(F.struct(*attrs)).alias("_rows"))
-    out = df
-    for k in lengths:
-        side = entries.filter(F.length("code") == k).select(F.col("code").alias(f"_c{k}"), F.col("_rows").alias(f"_r{k}"))
-        out = out.join(side, F.substring(code_col, 1, k) == F.col(f"_c{k}"), "left")
-    longest = sorted(lengths, reverse=True)
-    rows = F.coalesce(*[F.col(f"_r{k}") for k in longest])
-    out = out.withColumn(matched, F.coalesce(*[F.col(f"_c{k}") for k in longest])).filter(F.col(matched).isNotNull())
-    out = out.withColumn("_row", F.explode(rows))
-    return out.select(*df.columns, matched, *[F.col("_row")[a].alias(a) for a in attrs])
+    entries = codes.filter(F.length("code").isin(list(lengths))).groupBy(F.col("code").alias("_entry"))
+    entries = entries.agg(F.collect_list(F.struct(F.lit(0).alias("_"), *attrs)).alias("_listed"))
+    if len(set(lengths)) == 1:
+        found = df.join(entries, F.substring(code_col, 1, lengths[0]) == F.col("_entry"))
+    else:
+        # numbered before they are expanded: the prefixes of a row share its number
+        rows = df.select(F.monotonically_increasing_id().alias("_id"), F.struct(*df.columns).alias("_of"), prefixes(code_col, lengths).alias("_prefixes"))
+        rows = rows.select("_id", "_of", F.explode("_prefixes").alias("_prefix"))
+        hits = rows.join(entries, F.col("_prefix") == F.col("_entry"))
+        best = hits.groupBy("_id").agg(F.max_by(F.struct("_of", "_entry", "_listed"), F.length("_entry")).alias("_best"))
+        found = best.select("_best.*").select("_of.*", "_entry", "_listed")
+    found = found.withColumn("_listing", F.explode("_listed"))
+    return found.select(*df.columns, F.col("_entry").alias(matched), *[F.col("_listing")[a].alias(a) for a in attrs])
 
 
 def any_codes(
@@ -89,18 +103,17 @@ def any_codes(
     """Flag rows having any code of each list among their packed codes.
 
     ``lists`` gives for each flag the codelist and the lengths at which an entry is
-    compared with the beginning of a code. Codes are expanded once and joined to
-    the entries by equality, however many there are; only hits are kept, and
-    a flag applies to every row that shares ``keys``, a missing key being a key.
+    compared with the beginning of a code. The distinct prefixes of a row's codes
+    are expanded once and joined to the entries by equality, however many there are
+    of either; only hits are kept, and a flag applies to every row that shares
+    ``keys``, a missing key being a key.
     """
     tagged = [codes.select(F.lit(n).alias("_list"), F.col("code").alias("_c")).filter(F.length("_c").isin(list(k))) for n, (codes, k) in lists.items()]
     entries = reduce(DataFrame.unionByName, tagged).groupBy("_c").agg(*[F.bool_or(F.col("_list") == n).alias(f"_in_{n}") for n in lists])
-    codes = df.select(*keys, F.explode(F.array_distinct(F.split(packed, SEPARATOR))).alias("_code")).filter("_code != ''")
-    found = []
-    for k in sorted({k for _, lengths in lists.values() for k in lengths}):
-        side = entries.filter(F.length("_c") == k)
-        found.append(codes.join(side, F.substring("_code", 1, k) == F.col("_c")).select(*keys, *[f"_in_{n}" for n in lists]))
-    hits = reduce(DataFrame.unionByName, found).groupBy(*[F.col(c).alias(f"_key_{c}") for c in keys])
+    lengths = [k for _, of in lists.values() for k in of]
+    compared = F.array_distinct(F.flatten(F.transform(F.split(packed, SEPARATOR), lambda c: prefixes(c, lengths))))
+    found = df.select(*keys, F.explode(compared).alias("_prefix")).join(entries, F.col("_prefix") == F.col("_c"))
+    hits = found.groupBy(*[F.col(c).alias(f"_key_{c}") for c in keys])
     hits = hits.agg(*[F.bool_or(f"_in_{n}").alias(f"_in_{n}") for n in lists])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys])
     out = df.join(hits, same, "left").withColumns({n: F.coalesce(f"_in_{n}", F.lit(False)) for n in lists})

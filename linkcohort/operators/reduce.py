@@ -198,6 +198,43 @@ def pooled_modal(frames: Sequence[DataFrame], key: str, cols: Sequence[str], **h
     return modal(union_all([f.select(key, *cols) for f in frames]), key, cols, **how)
 
 
+def first_clear_event(
+    df: DataFrame, on: str, date: str, clear_days: int, lo: Column | None = None, hi: Column | None = None, out: str = "index_date"
+) -> DataFrame:
+    """Each person's first event in [lo, hi) with no other event in the ``clear_days`` days before it.
+
+    Earlier events count against one whether they lie in the window or not, and
+    whether they qualify themselves; events of one day are one. Rows are first
+    reduced to days, which the calendar bounds, so a person with very many rows
+    is put in order by a few. Persons without such an event have no row.
+    """
+    days = df.filter(F.col(on).isNotNull() & F.col(date).isNotNull()).select(on, date).distinct()
+    before = F.lag(date).over(Window.partitionBy(on).orderBy(date))
+    clear = F.coalesce(F.datediff(F.col(date), before) > clear_days, F.lit(True))
+    inside = F.lit(True) if lo is None else F.col(date) >= lo
+    inside = inside if hi is None else inside & (F.col(date) < hi)
+    return days.withColumn("_clear", clear).filter(F.col("_clear") & inside).groupBy(on).agg(F.min(date).alias(out))
+
+
+def weighted_modal(df: DataFrame, on: str, cols: Sequence[str], weight: Column | str) -> DataFrame:
+    """Each person's value of greatest summed weight, per column; the smallest of several.
+
+    NULL values and weights, and weights of 0 or less, are no evidence; a person
+    without any has NULL. Weights are summed by person and value before anything
+    is compared, so a person with very many rows reaches the comparison with one
+    row per value. Doubles are summed in no fixed order: give weights as decimals
+    or whole numbers where ties matter.
+    """
+    w = F.col(weight) if isinstance(weight, str) else weight
+    long = df.select(on, w.alias("_weight"), *cols)
+    out = df.select(on).filter(F.col(on).isNotNull()).distinct()
+    for c in cols:
+        sums = long.filter(F.col(on).isNotNull() & F.col(c).isNotNull() & (F.col("_weight") > 0)).groupBy(on, c).agg(F.sum("_weight").alias("_weight"))
+        best = sums.groupBy(on).agg(F.min(F.struct((-F.col("_weight")).alias("less"), F.col(c).alias("value"))).alias("_best"))
+        out = out.join(best.select(on, F.col("_best.value").alias(c)), on, "left")
+    return out
+
+
 def dense_rank_in(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Dense rank of a date within its key, on every row.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,53 +58,56 @@ def exclusion_summary(rows: DataFrame, cfg: Config) -> DataFrame:
     return exists_summary(rows, "pmr", {f"excluded_y{y}": F.col("year") == y for y in PANEL_YEARS} | kinds)
 
 
+@dataclass(frozen=True)
+class Summary:
+    """A module's result as the combined dataset takes it: one row per id, and what stands for an id without a row."""
+
+    on: str
+    rows: DataFrame
+    fill: Mapping[str, object] = field(default_factory=dict)
+
+
+def summaries(parts: Mapping[str, DataFrame], cfg: Config) -> dict[str, Summary]:
+    """The parts one row per person, in the order in which they are joined."""
+    conditions = [cfg.chronic_label, *PRESENTATIONS.values()]
+    makers: dict[str, Callable[[DataFrame], Summary]] = {
+        "birth_records": lambda df: Summary("tpid", df),
+        "hospital_demographics": lambda df: Summary("tpid", df),
+        "phen_codes": lambda df: Summary("tpid", phenotype_summary(df, cfg), {f"chc_{g}": False for g in conditions}),
+        "contacts": lambda df: Summary("tpid", contact_summary(df, cfg), {"ever_attended_cpc": False}),
+        "demographics_modals": lambda df: Summary("pmr", df),
+        "demographics_y7": lambda df: Summary("pmr", df),
+        "demographics_ever": lambda df: Summary("pmr", sen_summary(df), {"fsm_ever_primary": False, "highest_sen_primary": "None"}),
+        "enrolments": lambda df: Summary("pmr", enrolment_summary(df), {f"_in_y{y}": False for y in NOT_ENROLLED_YEARS}),
+        "exclusions": lambda df: Summary(
+            "pmr", exclusion_summary(df, cfg), {f"excluded_y{y}": False for y in PANEL_YEARS} | dict.fromkeys(cfg.exclusion_kinds, False)
+        ),
+        "absence": lambda df: Summary("pmr", dcast(df, ["pmr"], "year", PANEL_YEARS, [*ABSENCE_VALUES, *cfg.persistent_flags])),
+        "exams": lambda df: Summary("pmr", df),
+        "social_care": lambda df: Summary("pmr", df, {c: False for c in ("ever_cin", "ever_cpp", "ever_cla")}),
+    }
+    if cfg.inception != "school":  # the spine has them
+        makers.pop("birth_records")
+    return {name: make(parts[name]) for name, make in makers.items() if name in parts}
+
+
 def combine(spine: DataFrame, parts: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
     """Join the modules' results onto the spine and derive the flags across them.
 
     ``parts``: demographics_modals, demographics_y7, demographics_ever,
     birth_records (school inception), hospital_demographics, phen_codes, enrolments, exclusions,
     absence, exams, contacts, social_care. A part left out leaves its columns out.
-
-    Hospital-keyed results are joined first, then pupil-keyed ones, each set on
-    one exchange of the spine.
     """
-    have = set(parts)
-    null_safe = cfg.compat.null_safe_links
-
-    hospital, fill = [], {}
-    if "birth_records" in have and cfg.inception == "school":
-        hospital.append(parts["birth_records"])
-    if "hospital_demographics" in have:
-        hospital.append(parts["hospital_demographics"])
-    if "phen_codes" in have:
-        hospital.append(phenotype_summary(parts["phen_codes"], cfg))
-        fill |= {f"chc_{g}": False for g in [cfg.chronic_label, *PRESENTATIONS.values()]}
-    if "contacts" in have:
-        hospital.append(contact_summary(parts["contacts"], cfg))
-        fill["ever_attended_cpc"] = False
-    out = attach(spine, "tpid", *hospital, fill=fill, null_safe=null_safe)
-
-    school, fill = [], {}
-    for name in ("demographics_modals", "demographics_y7"):
-        if name in have:
-            school.append(parts[name])
-    if "demographics_ever" in have:
-        school.append(sen_summary(parts["demographics_ever"]))
-        fill |= {"fsm_ever_primary": False, "highest_sen_primary": "None"}
-    if "enrolments" in have:
-        school.append(enrolment_summary(parts["enrolments"]))
-        fill |= {f"_in_y{y}": False for y in NOT_ENROLLED_YEARS}
-    if "exclusions" in have:
-        school.append(exclusion_summary(parts["exclusions"], cfg))
-        fill |= {f"excluded_y{y}": False for y in PANEL_YEARS} | dict.fromkeys(cfg.exclusion_kinds, False)
-    if "absence" in have:
-        school.append(dcast(parts["absence"], ["pmr"], "year", PANEL_YEARS, [*ABSENCE_VALUES, *cfg.persistent_flags]))
-    if "exams" in have:
-        school.append(parts["exams"])
-    if "social_care" in have:
-        school.append(parts["social_care"])
-        fill |= {c: False for c in ("ever_cin", "ever_cpp", "ever_cla")}
-    out = attach(out, "pmr", *school, fill=fill, null_safe=null_safe)
+    return combine_summaries(spine, summaries(parts, cfg), cfg)
+
+
+def combine_summaries(spine: DataFrame, of: Mapping[str, Summary], cfg: Config) -> DataFrame:
+    """Hospital-keyed summaries are joined first, then pupil-keyed ones, each set on one exchange of the spine."""
+    have, out = set(of), spine
+    for on in ("tpid", "pmr"):
+        own = [x for x in of.values() if x.on == on]
+        fill = {c: v for x in own for c, v in x.fill.items()}
+        out = attach(out, on, *[x.rows for x in own], fill=fill, null_safe=cfg.compat.null_safe_links)
 
     derived = {}
     if "demographics_modals" in have and cfg.inception == "school":

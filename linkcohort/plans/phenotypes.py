@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from linkcohort.config import Config
 from linkcohort.functions.dates import end_of_august, september
 from linkcohort.operators import (
-    join_spells, los_nights, match_codes, repair_dates, unpack_codes, with_year7, within_window,
+    join_spells, los_nights, match_codes, prefixes, repair_dates, unpack_codes, with_year7, within_window,
 )
 from linkcohort.plans.births import DIAG, OPERTN, episode_rows
 from linkcohort.sources import Tables
@@ -98,13 +98,11 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
     rows = long.filter(F.col("urgent") | (F.col("code_type") == "opertn"))
     diag = long.filter(F.col("urgent") & (F.col("code_type") == "diag"))
 
-    entries = presentation_entries(codes, medical)
-    hits = []
-    for k in (3, 4):
-        side = entries.filter(F.col("_k") == k).select(F.col("_type").alias("_t"), F.col("code").alias("_c"), "_tags")
-        same = (F.col("code_type") == F.col("_t")) & (F.substring("code", 1, k) == F.col("_c"))
-        hits.append(rows.join(side, same).select("tpid", "epistart", "code_no", "_tags"))
-    marked = hits[0].unionByName(hits[1])
+    # each row's compared prefixes, looked up in one join
+    entries = presentation_entries(codes, medical).filter(F.col("_k").isin(3, 4)).select(F.col("_type").alias("_t"), F.col("code").alias("_c"), "_tags")
+    compared = F.when(F.col("code_type") == "diag", prefixes("code", (3, 4))).otherwise(F.array(F.substring("code", 1, 4)))
+    looked = rows.select("tpid", "epistart", "code_no", "code_type", F.explode(compared).alias("_prefix"))
+    marked = looked.join(entries, (F.col("code_type") == F.col("_t")) & (F.col("_prefix") == F.col("_c"))).select("tpid", "epistart", "code_no", "_tags")
 
     def tagged(name: str) -> Column:
         return F.array_contains("_tags", name)

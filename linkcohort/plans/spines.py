@@ -1,4 +1,4 @@
-"""The school-inception spine: everyone seen in year 7 of a cohort's year."""
+"""Spines by school year and by event: everyone seen in year 7 of a cohort's year, or with a first listed diagnosis."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkcohort.config import Config
-from linkcohort.operators import add_new_members, link
+from linkcohort.functions import academic_year, dob_approx, inception_year
+from linkcohort.operators import SEPARATOR, add_new_members, first_clear_event, link, match_codes, repair_dates
+from linkcohort.plans.births import DIAG, episode_rows
 from linkcohort.plans.census import academic_years, ap_rows, census_rows
 from linkcohort.sources import Tables, census_year, open_table, year_group
 
@@ -31,3 +33,25 @@ def school_spine(tables: Tables, cfg: Config, bridge: DataFrame | None = None) -
         spine = add_new_members(spine, ap.withColumnRenamed("academicyear", "y7_year"), "pmr", ["y7_year"])
     bridge = open_table(tables, cfg.bridge_table) if bridge is None else bridge
     return link(spine, bridge, "pmr", "tpid", ["tpid"] if cfg.compat.link_fan_out else ["tpid", "pmr"])
+
+
+def event_spine(tables: Tables, cfg: Config, codes: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
+    """tpid, index_date, dob_approx, academic_yob, pmr, y7_year of everyone with an index event.
+
+    An event is the start of a hospital episode with a listed diagnosis, compared by
+    3 or 4 characters; the index event is the first in [``event_from``, ``event_to``)
+    without another one in the ``event_clear_days`` days before. The date of birth is
+    that of the person's listed episodes, NULL where they give several or none;
+    modules of school years then have nothing for the person.
+    """
+    rows = repair_dates(episode_rows(tables, cfg, cfg.event_years, {"mydob": "string"}, DIAG))
+    rows = rows.select("tpid", F.col("epistart").alias("date"), dob_approx("mydob").alias("dob"), F.explode(F.array_distinct(F.split("codes", SEPARATOR))).alias("code"))
+    hits = match_codes(rows, codes, [], lengths=(3, 4)).groupBy("tpid", "date").agg(F.min("dob").alias("least"), F.max("dob").alias("most"))
+    lo, hi = (None if d is None else F.lit(d) for d in (cfg.event_from, cfg.event_to))
+    index = first_clear_event(hits, "tpid", "date", cfg.event_clear_days, lo, hi)
+    births = hits.groupBy("tpid").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    spine = index.join(births, "tpid").select("tpid", "index_date", F.when(F.col("least") == F.col("most"), F.col("least")).alias("dob_approx"))
+    spine = spine.withColumn("academic_yob", academic_year("dob_approx"))
+    bridge = open_table(tables, cfg.bridge_table) if bridge is None else bridge
+    spine = link(spine, bridge, "tpid", "pmr", ["tpid"] if cfg.compat.link_fan_out else ["tpid", "pmr"])
+    return spine.withColumn("y7_year", inception_year("academic_yob"))

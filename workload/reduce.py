@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from linkcohort.functions import max_or_null
 from linkcohort.operators import (
-    any_in_group, dense_rank_in, ever, first_date, first_per, highest, latest, modal, number_rows,
-    pooled_modal, resolve, run_id,
+    any_in_group, dense_rank_in, ever, first_clear_event, first_date, first_per, highest, latest, modal, number_rows,
+    pooled_modal, resolve, run_id, weighted_modal,
 )
 from workload import Data, case
 
@@ -231,3 +231,29 @@ def q_pooled_modal(d: Data):
     a = d.orders.select(F.col("o_custkey").alias("person"), F.col("o_orderstatus").alias("v"))
     b = d.lineitem.select(F.col("l_suppkey").alias("person"), F.col("l_linestatus").alias("v"))
     return pooled_modal([a, b], "person", ["v"])
+
+
+@case("""
+WITH w AS (SELECT o_custkey, o_orderpriority AS v, sum(CAST(year(o_orderdate) AS BIGINT) - 1991) AS s FROM orders WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1, 2),
+t AS (SELECT o_custkey, o_orderstatus AS v, sum(CAST(year(o_orderdate) AS BIGINT) - 1991) AS s FROM orders GROUP BY 1, 2)
+SELECT k.o_custkey, a.v AS priority, b.v AS status FROM (SELECT DISTINCT o_custkey FROM orders) k
+LEFT JOIN (SELECT o_custkey, v FROM w QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY s DESC, v) = 1) a ON a.o_custkey = k.o_custkey
+LEFT JOIN (SELECT o_custkey, v FROM t QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY s DESC, v) = 1) b ON b.o_custkey = k.o_custkey
+""")
+def q_weighted_modal(d: Data):
+    """Later records are better evidence."""
+    rows = d.orders.select(
+        "o_custkey", F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("priority"), F.col("o_orderstatus").alias("status"), (F.year("o_orderdate") - 1991).alias("weight"),
+    )
+    return weighted_modal(rows, "o_custkey", ["priority", "status"], "weight")
+
+
+@case("""
+WITH days AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders),
+seen AS (SELECT *, lag(day) OVER (PARTITION BY o_custkey ORDER BY day) AS before FROM days)
+SELECT o_custkey, min(day) AS index_date FROM seen
+WHERE day >= DATE '1994-01-01' AND day < DATE '1997-01-01' AND (before IS NULL OR day - before > 120) GROUP BY 1
+""")
+def q_first_clear_event(d: Data):
+    rows = d.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("day"))
+    return first_clear_event(rows, "o_custkey", "day", 120, F.lit("1994-01-01").cast("date"), F.lit("1997-01-01").cast("date"))

@@ -2,12 +2,16 @@
 
 import tempfile
 import uuid
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import functions as F
 
-from linkcohort.plans import school
+from linkcohort.config import Config
+from linkcohort.plans import demographics, school
+from linkcohort.plans.compare import compare_demographics
 from linkcohort.plans.study import Study
-from linkcohort.sources import read_codelist, read_csv_module, shared_dir, write_table
+from linkcohort.sources import codelist, read_codelist, read_csv_module, shared_dir, write_table
 from workload import Data, case
 from workload import school as m
 from workload import shape as s
@@ -57,6 +61,107 @@ def q_study_birth(d: Data):
     return Study(d.spark, s.birth_tables(d), lists, s.BIRTH_CONFIG, root=folder(d)).run()
 
 
+def few_tables(d: Data) -> dict:
+    """What a school study without hospital data has."""
+    return {**s.census_tables(d), **s.exclusion_tables(d), **s.absence_tables(d), **s.exam_tables(d)}
+
+
+# The combined dataset without hospital data, social care and, where it was forgotten, absence.
+_FEW = m.COMBINED.replace(m.SCHOOL, FROM_CENSUS)
+_HOSPITAL_COLUMNS = "c LIKE 'chc%' OR c LIKE '%cpc' OR c LIKE 'ever_c__' OR c = 'highest_csc'"
+_ABSENCE_COLUMNS = "c LIKE 'abs%' OR c LIKE '%pa10%' OR c LIKE 'sessions%'"
+FEW_SQL = f"SELECT COLUMNS(lambda c: NOT ({_HOSPITAL_COLUMNS})) FROM ({_FEW})"
+
+
+@case(f"SELECT COLUMNS(lambda c: NOT ({_HOSPITAL_COLUMNS} OR {_ABSENCE_COLUMNS})) FROM ({_FEW})")
+def q_study_blocks(d: Data):
+    """Blocks called one by one, by three runs in one folder: the last goes on after a module was forgotten."""
+    root, tables = folder(d), few_tables(d)
+
+    def study() -> Study:
+        return Study(d.spark, tables, {}, s.CONFIG, root=root, name="blocks")
+
+    study().run_modules(only=["exams", "absence"])
+    second = study()
+    second.run_modules()
+    second.run_combine()
+    second.forget("absence")
+    return study().run_combine()
+
+
+@case(FEW_SQL)
+def q_study_by_person(d: Data):
+    """Modules' results laid out by person, joined without a shuffle, read by another run."""
+    root, tables = folder(d), few_tables(d)
+    Study(d.spark, tables, {}, s.CONFIG, root=root, name="laid_out", buckets=8).run()
+    return Study(d.spark, tables, {}, s.CONFIG, root=root, name="laid_out", buckets=8).run()
+
+
+@case(f"""
+WITH {FROM_CENSUS.removeprefix("WITH ")}, {s.EXCLUSIONS}, {s.ABSENCE_SQL}, {s.EXAMS},
+wide AS ({FEW_SQL})
+SELECT '1_cohort_spine' AS step, 'rows' AS measure, '' AS item, count(*) AS n FROM spine
+UNION ALL SELECT '1_cohort_spine', 'linked', '', count(*) FROM spine WHERE tpid IS NOT NULL
+UNION ALL SELECT '1_cohort_spine', 'missing', 'tpid', count(*) FROM spine WHERE tpid IS NULL
+UNION ALL SELECT 'exclusions', 'rows', '', count(*) FROM excl
+UNION ALL SELECT 'exclusions', 'broken', 'sessions not negative', count(*) FILTER (WHERE sessions < 0) FROM excl
+UNION ALL SELECT 'absence', 'rows', '', count(*) FROM absence
+UNION ALL SELECT 'absence', 'broken', 'overall within possible', count(*) FILTER (WHERE abs_overall_rate > 100) FROM absence
+UNION ALL SELECT 'absence', 'broken', 'parts within overall', count(*) FILTER (WHERE greatest(abs_auth_rate, abs_unauth_rate) > abs_overall_rate) FROM absence
+UNION ALL SELECT 'exams', 'missing', 'ebacc_94', count(*) FILTER (WHERE ebacc_94 IS NULL) FROM exams
+UNION ALL SELECT '2_cohort_spine_complete', 'rows', '', count(*) FROM wide
+UNION ALL SELECT '2_cohort_spine_complete', 'missing', 'att8', count(*) FILTER (WHERE att8 IS NULL) FROM wide
+UNION ALL SELECT '2_cohort_spine_complete', 'missing', 'abs_overall_rate_9', count(*) FILTER (WHERE abs_overall_rate_9 IS NULL) FROM wide
+""")
+def q_study_report(d: Data):
+    """What was counted while the steps of a run were written."""
+    study = Study(d.spark, few_tables(d), {}, s.CONFIG, root=folder(d))
+    study.run()
+    of_step = {
+        "1_cohort_spine": ["rows", "linked", "tpid"], "exclusions": ["rows", "sessions not negative"],
+        "absence": ["rows", "overall within possible", "parts within overall"], "exams": ["ebacc_94"], "2_cohort_spine_complete": ["rows", "att8", "abs_overall_rate_9"],
+    }
+    shown = [(F.col("step") == step) & (F.when(F.col("item") == "", F.col("measure")).otherwise(F.col("item"))).isin(names) for step, names in of_step.items()]
+    return study.report().filter(reduce(lambda a, b: a | b, shown))
+
+
+EVENT_CONFIG = Config(birth_cohorts=(1996, 1997, 1998), inception="event", event_from=date(1996, 1, 1), event_to=date(1998, 1, 1), event_clear_days=200)
+
+
+@case(f"""
+WITH raw AS (SELECT *, 'T' || l_partkey AS tpid FROM lineitem WHERE year(l_shipdate) BETWEEN 1995 AND 1998), {s._dates_sql('CAST(l_shipdate AS DATE)')}, {s.BRIDGE},
+hits AS (SELECT tpid, epistart AS day,
+    make_date(1995 + l_partkey % 4, 1 + l_partkey % 12 + CASE WHEN l_orderkey % 53 = 0 AND l_partkey % 12 < 11 THEN 1 ELSE 0 END, 15) AS dob
+  FROM fixed WHERE {s.pick_sql(s.BIRTH_CODES, 'l_orderkey')} IN ('J450', 'P071')),
+days AS (SELECT DISTINCT tpid, day FROM hits), seen AS (SELECT *, lag(day) OVER (PARTITION BY tpid ORDER BY day) AS before FROM days),
+idx AS (SELECT tpid, min(day) AS index_date FROM seen WHERE day >= DATE '1996-01-01' AND day < DATE '1998-01-01' AND (before IS NULL OR day - before > 200) GROUP BY 1),
+born AS (SELECT tpid, CASE WHEN min(dob) = max(dob) THEN min(dob) END AS dob_approx FROM hits GROUP BY 1),
+by_token AS (SELECT tpid, min(pmr) AS pmr FROM bridge WHERE tpid IN (SELECT tpid FROM idx) GROUP BY 1),
+one AS (SELECT pmr, min(tpid) AS tpid FROM by_token GROUP BY 1),
+wide AS (SELECT i.tpid, i.index_date, b.dob_approx, CAST(year(dob_approx) + CASE WHEN month(dob_approx) >= 9 THEN 1 ELSE 0 END AS INTEGER) AS academic_yob, one.pmr,
+  dob_approx >= DATE '1995-09-01' AND dob_approx < DATE '1998-09-01' AS born_in_year FROM idx i JOIN born b ON b.tpid = i.tpid LEFT JOIN one ON one.tpid = i.tpid)
+SELECT *, academic_yob + 12 AS y7_year, pmr IS NOT NULL AND born_in_year AS eligible FROM wide
+""")
+def q_study_event(d: Data):
+    """A whole run of a cohort that begins with a first diagnosis after 200 days without one."""
+    inception = codelist(d.spark, [("J45",), ("P07.1",), ("J45.0",)], ["code"])
+    return Study(d.spark, s.birth_tables(d), {"inception": inception}, EVENT_CONFIG, root=folder(d)).run()
+
+
+@case(f"""
+WITH {s.SPINE}, {s.CENSUS}, {s.AP}, {s.PRU}, {m.MODALS}, {m.HOSPITAL_MODAL},
+b AS (SELECT CAST(md.female AS VARCHAR) AS f1, CAST(ho.hospital_female AS VARCHAR) AS f2, md.ethnicgroup AS e1, ho.hospital_ethnicgroup AS e2
+  FROM spine sp JOIN modals md ON md.pmr = sp.pmr JOIN hospital ho ON ho.tpid = sp.tpid)
+SELECT 'female' AS variable, f1 AS value_a, f2 AS value_b, count(*) AS n FROM b GROUP BY 1, 2, 3
+UNION ALL SELECT 'ethnicgroup', e1, e2, count(*) FROM b GROUP BY 1, 2, 3
+""")
+def q_compare_demographics(d: Data):
+    """Sex and ethnic group in both sources."""
+    spine = s.spine(d)
+    school_side = demographics.modal_demographics(s.census_tables(d), s.CONFIG, spine)
+    return compare_demographics(spine, school_side, demographics.hospital_demographics(s.episode_tables(d), s.CONFIG, spine))
+
+
 @case("""SELECT 'B' || p_partkey AS code, p_type AS "group", CASE WHEN p_size > 25 THEN 'x' ELSE '' END AS flag FROM part""")
 def q_codelist_file(d: Data):
     path = folder(d)
