@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -27,11 +28,11 @@ HOLD = 2  # documents whose crc32(doc_id) mod 7 is this are held out
 
 @dataclass(frozen=True)
 class Settings:
-    top: int = 131_072  # most frequent tokens that each task gets with their counts; the rest are joined
-    words: int = 4_096  # of them, symbols of the model
-    tails: int = 64  # symbols for all other tokens, by their last letters
+    top: int = 262_144  # most frequent tokens that each task gets with their counts; the rest are joined
+    words: int = 2_048  # of them, symbols of the model
+    tails: int = 40  # symbols for all other tokens, by their last letters
     rounds: int = 4  # shares of the training documents, each learned from once; models are averaged after each
-    replica: int = 1_000_000  # tokens that a model learns from before it is averaged, at least
+    replica: int = 2_000_000  # tokens that a model learns from before it is averaged, at least
     replicas: int = 4_096  # models of a round, at most
 
 
@@ -136,18 +137,17 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                 for row, doc_id, text in zip(*[c.to_pylist() for c in part.columns]):
                     words = words_of(text)
                     words.append(END)
-                    found = np.array([place.get(w, -1) for w in words], np.int64)
-                    rare: Counter = Counter()
-                    missing = np.flatnonzero(found < 0)
+                    found = np.fromiter(map(place.get, words, itertools.repeat(-1)), np.int64, len(words))
+                    missing = np.flatnonzero(found < 0).tolist()
+                    keys = [key_of(words[i]) for i in missing]
+                    for i, key in zip(missing, keys):
+                        if key[0] == END[0]:  # of a long word
+                            found[i] = place.get(key, -1)
                     symbols = vocab.symbols[found] if len(place) else np.zeros(len(found), np.uint16)
-                    for i in missing.tolist():
-                        key = key_of(words[i])
-                        found[i] = p = place.get(key, -1)
-                        if p < 0:
-                            rare[key] += 1
+                    rare = Counter([key for i, key in zip(missing, keys) if found[i] < 0])
+                    for i, key in zip(missing, keys):
+                        if found[i] < 0:
                             symbols[i] = k + tail_of(key, tails)
-                        else:
-                            symbols[i] = vocab.symbols[p]
                     known = found[found >= 0]
                     tail = symbols[symbols >= k].astype(np.int64) - k
                     rows.append((

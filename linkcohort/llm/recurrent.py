@@ -7,11 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 
-WIDTH = 16  # of the state and of a symbol's vector
-CLASSES = 24  # of words; each tail of rarer words is one class more
+WIDTH = 12  # of the state and of a symbol's vector
+CLASSES = 20  # of words; each tail of rarer words is one class more
 LANES = 512  # documents read side by side, at most
 EACH = 2_048  # tokens of a lane that make another one worth while
 WINDOW = 16  # tokens of a lane that errors run back over
+ROWS = 1_024  # states whose classes are worked out at once
+READ = 4 * WINDOW  # tokens of a lane that are scored at once
+PIECE = 4_096  # tokens of a document that are learned from in a row; what follows begins with an empty state
 SPAN = 64 * WINDOW  # tokens of a lane laid out at once
 RATE, BETA1, BETA2 = 0.01, 0.9, 0.99
 CLIP = 1.0  # of a gradient's norm
@@ -73,10 +76,13 @@ class Model:
             at += n
         return out
 
-    def run(self, given: np.ndarray, stays: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, list]:
-        """States after each of the ``given`` symbols (time, lane); ``stays`` is 0 where a document begins."""
+    def run(self, given: np.ndarray, stays: np.ndarray, h: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, list]:
+        """States after each of the ``given`` symbols (time, lane); ``stays`` is 0 where a document begins.
+
+        With the ``table`` of all symbols' inputs, nothing is kept for the way back.
+        """
         w, d = self.w, WIDTH
-        into = w["vectors"][given] @ w["inward"] + w["bias"]
+        into = w["vectors"][given] @ w["inward"] + w["bias"] if table is None else table[given]
         states, trace = np.empty((*given.shape, d), np.float32), []
         for t in range(len(given)):
             prev = h * stays[t]
@@ -87,7 +93,8 @@ class Model:
             z, r, gn = gates[:, :d], gates[:, d:], g[:, 2 * d :]
             new = np.tanh(into[t, :, 2 * d :] + r * gn)
             h = states[t] = new + z * (prev - new)
-            trace.append((prev, z, r, gn, new))
+            if table is None:
+                trace.append((prev, z, r, gn, new))
         return states, trace
 
     def back(self, given: np.ndarray, stays: np.ndarray, trace: list, errors: np.ndarray, grad: dict[str, np.ndarray]) -> None:
@@ -120,16 +127,18 @@ class Model:
         """Natural log probability of each target symbol, and the errors of the states: first its class, then the word in it."""
         w, lay = self.w, self.layout
         n, kind = len(target), lay.class_of[target]
-        p = h @ w["to_class"]
-        p += w["class_bias"]
-        logp, total = _chances(p, kind)
-        errors = None
-        if grad is not None:
-            p *= (np.float32(1 / n) / total)[:, None]
-            p[np.arange(n), kind] -= np.float32(1 / n)
-            grad["to_class"][:] = h.T @ p
-            grad["class_bias"][:] = p.sum(0)
-            errors = p @ w["to_class"].T
+        logp, errors = np.empty(n), None if grad is None else np.empty_like(h)
+        for at in range(0, n, ROWS):
+            part = slice(at, at + ROWS)
+            p = h[part] @ w["to_class"]
+            p += w["class_bias"]
+            logp[part], total = _chances(p, kind[part])
+            if grad is not None:
+                p *= (np.float32(1 / n) / total)[:, None]
+                p[np.arange(len(p)), kind[part]] -= np.float32(1 / n)
+                grad["to_class"] += h[part].T @ p
+                grad["class_bias"] += p.sum(0)
+                errors[part] = p @ w["to_class"].T
         order = np.argsort(kind, kind="stable")
         ends = np.searchsorted(kind[order], np.arange(len(lay.edges)))
         for k in range(len(lay.edges) - 1):
@@ -150,7 +159,7 @@ class Model:
         return logp, errors
 
 
-def lanes(docs: list[np.ndarray], end: int) -> Iterator[np.ndarray]:
+def lanes(docs: list[np.ndarray], end: int, window: int = WINDOW) -> Iterator[np.ndarray]:
     """Windows over documents laid end to end in lanes: (4, time, lane) of given symbol, target, document and 1 where one begins.
 
     The longest documents are dealt first, to the emptiest lane. Lanes are in order
@@ -181,17 +190,18 @@ def lanes(docs: list[np.ndarray], end: int) -> Iterator[np.ndarray]:
         first[:] = whose != first
         given[(first == 1) | (given < 0)] = end
         whose[whose < 0] = 0
-        for w in range(0, min(SPAN, -sizes[0] - at), WINDOW):
-            yield out[:, w : w + WINDOW, : int(np.searchsorted(sizes, -at - w))]
+        for w in range(0, min(SPAN, -sizes[0] - at), window):
+            yield out[:, w : w + window, : int(np.searchsorted(sizes, -at - w))]
 
 
 def log_likelihoods(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document's symbols."""
     total, h = np.zeros(len(docs)), None
-    for given, target, whose, first in lanes(docs, model.layout.end):
+    table = model.w["vectors"] @ model.w["inward"] + model.w["bias"]
+    for given, target, whose, first in lanes(docs, model.layout.end, READ):
         n = given.shape[1]
         h = np.zeros((n, WIDTH), np.float32) if h is None else h[:n]
-        states, _ = model.run(given, (1 - first).astype(np.float32)[..., None], h)
+        states, _ = model.run(given, (1 - first).astype(np.float32)[..., None], h, table)
         h, real = states[-1], target >= 0
         logp, _ = model.output(states[real], target[real])
         total += np.bincount(whose[real], logp, len(docs))
@@ -208,7 +218,9 @@ class Trainer:
         self.mean, self.square = np.zeros_like(self.grad), np.zeros_like(self.grad)
 
     def learn(self, docs: list[np.ndarray]) -> None:
+        """From all tokens of the documents; long ones are cut into pieces, so that no lane outlasts the others by far."""
         m, h = self.model, None
+        docs = [d[at : at + PIECE] for d in docs for at in range(0, len(d), PIECE)]
         for given, target, _, first in lanes(docs, m.layout.end):
             n = given.shape[1]
             h = np.zeros((n, WIDTH), np.float32) if h is None else h[:n]
