@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -243,18 +243,19 @@ def damage(conversations: DataFrame) -> DataFrame:
 
 
 def in_order(rows: DataFrame) -> DataFrame:
-    """Equal rows once with their number ``n``, sorted through all partitions; before a repeat of an earlier row stands a mark, ``n`` 0.
+    """Equal rows once with their number ``n``, sorted through all partitions; before a repeat of an earlier row stands a mark, ``n`` below 0.
 
     Sorting is by conversation, turn, role and hash of the text, so one conversation
-    may lie in many partitions. Repeats are found on hashes only.
+    may lie in many partitions. Repeats are found on hashes only; that side too uses
+    ``n`` and rows without a role, so the texts are dealt out by equality once for both.
     """
     once = rows.groupBy("conv", "turn", "role", "text").agg(F.sum("copies").alias("n")).withColumn("h", F.unhex(F.sha2("text", 256)))
     when = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
-    said = once.filter("text IS NOT NULL").select("conv", "turn", "role", "h", when.alias("at"))
-    firsts = said.groupBy("conv", "role", "h").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
+    said = once.select("conv", "turn", "role", "h", "n", when.alias("at"))
+    firsts = said.groupBy("conv", "role", "h").agg(F.min("at").alias("first"), F.sum("n").alias("times")).filter("times > 1")
     a, b = said.alias("a"), firsts.alias("b")
-    again = a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.role") == F.col("b.role")) & (F.col("a.h") == F.col("b.h")))
-    marks = again.filter("a.at != b.first").select("a.conv", "a.turn", "a.role", "a.h", F.lit(0).cast("long").alias("n"), F.lit(None).cast("string").alias("text"))
+    again = a.join(b, reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("conv", "role", "h")]))
+    marks = again.filter("a.at != b.first").select("a.conv", "a.turn", "a.role", "a.h", (-F.col("a.n")).alias("n"), F.lit(None).cast("string").alias("text"))
     order = ["conv", "turn", "role", "h"]
     every = once.select(*order, "n", "text").unionByName(marks)
     return every.repartitionByRange(*order).sortWithinPartitions(*order, "n").select("conv", "turn", "role", "n", "text", find_faults(F.col("text")).alias("fault"))
@@ -268,7 +269,7 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
             for conv, turn, role, n, text, fault in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
                 if role is None:
                     yield conv, None, None, None, None
-                elif n == 0:
+                elif n < 0:
                     marked = True
                 else:
                     yield conv, turn, role, text, DUPLICATE if marked and fault != BLANK else fault
