@@ -180,6 +180,8 @@ class Config:
     chronic_label: str = "chronic"
     hospital_demographics: bool = False  # sex, ethnic group and deprivation from hospital episodes as well
     attended_only: bool = False  # contacts that took place
+    attendance: bool = False  # numbers of attended, cancelled and missed contacts as well
+    waiting_times: bool = False  # days from referral to the first attended contact as well; extracts need reqdate
     phenotype_from: date | None = None  # condition flags count codes of episodes that start in [from, to)
     phenotype_to: date | None = None
     exclusion_kinds: Mapping[str, tuple[str, ...]] = field(default_factory=dict)  # further flag: its categories

@@ -149,3 +149,22 @@ def join_spells(
 def los_nights(start: str = "spell_start", end: str = "spell_end") -> Column:
     """Nights between the two ends of a spell."""
     return F.datediff(F.col(end), F.col(start))
+
+
+def collapse_intervals(df: DataFrame, on: str, start: str, end: str, gap: int = 0, count: str = "n") -> DataFrame:
+    """``on``, ``start``, ``end``, ``count``: overlapping intervals of a person as one, with the number of rows in it.
+
+    Intervals also join where at most ``gap`` days lie between them. A NULL end is
+    still open, and so is what it joins; an end before its start counts as the
+    start; rows without a person or a start are dropped. Rows are first reduced to
+    (person, start), which the calendar bounds; only that is put in order.
+    """
+    open_end = F.lit(dt.date(9999, 12, 31))
+    rows = df.filter(F.col(on).isNotNull() & F.col(start).isNotNull())
+    days = rows.groupBy(on, start).agg(F.max(F.greatest(F.coalesce(F.col(end), open_end), F.col(start))).alias("_end"), F.count(F.lit(1)).alias("_n"))
+    order = Window.partitionBy(on).orderBy(start)
+    reached = F.max("_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    days = days.withColumn("_opens", F.when(F.datediff(F.col(start), reached) <= gap, 0).otherwise(1))
+    days = days.withColumn("_period", F.sum("_opens").over(order))
+    out = days.groupBy(on, "_period").agg(F.min(start).alias(start), F.max("_end").alias(end), F.sum("_n").alias(count))
+    return out.select(on, start, F.nullif(F.col(end), open_end).alias(end), count)

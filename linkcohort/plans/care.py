@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkcohort.config import Config
 from linkcohort.functions import parse_date, waiting_days
-from linkcohort.operators import exists_summary, first_per, within_school_window
+from linkcohort.operators import collapse_intervals, exists_summary, first_per, within_school_window
 from linkcohort.sources import Tables, discover, union_family
 
 # Outpatient attendance codes. 5 and 6 were seen (on time, late);
@@ -72,6 +72,26 @@ def latest_referrals(cin: DataFrame, keys: list[str], snapshot: str, ties: list[
     return first_per(cin, keys, [F.col(snapshot).desc(), *ties])
 
 
+def current_referrals(referrals: DataFrame) -> DataFrame:
+    """Yearly snapshots (pmr, referral_id, snapshot, referraldate, closuredate, need_episode, cpp) as each referral last was.
+
+    Of several rows of one snapshot, the latest closed or still open one counts,
+    then the one with more protection.
+    """
+    open_end = F.coalesce(F.col("closuredate"), F.lit("9999-12-31").cast("date"))
+    ties = [open_end.desc(), F.col("cpp").desc(), F.col("need_episode").desc(), F.col("referraldate").asc()]
+    return latest_referrals(referrals, ["pmr", "referral_id"], "snapshot", ties)
+
+
+def referral_periods(referrals: DataFrame, cfg: Config, spine: DataFrame) -> DataFrame:
+    """pmr, referraldate, closuredate, n_referrals: each pupil's overlapping referrals as one period, NULL where still open.
+
+    Referrals that begin in primary school years.
+    """
+    rows = within_school_window(current_referrals(referrals), spine, "pmr", "referraldate", end_inclusive=cfg.window_end_inclusive)
+    return collapse_intervals(rows, "pmr", "referraldate", "closuredate", count="n_referrals")
+
+
 def social_care(cin: DataFrame, cla: DataFrame, cfg: Config, spine: DataFrame) -> DataFrame:
     """ever_cin, ever_cpp, ever_cla in primary school years, for pupils with any record.
 

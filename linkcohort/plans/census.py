@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Hashable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,27 +30,31 @@ def census_rows(
     cfg: Config,
     years: Iterable[int],
     keep: Sequence[str],
-    where: Column | Callable[[str], Column] | None,
+    where: Column | Callable[[str], tuple[Hashable, Column]] | None,
     optional: Callable[[str], Iterable[str]] = lambda name: (),
 ) -> DataFrame:
-    """Canonical columns of every census of the given years, with ``source_table``."""
+    """Canonical columns of every census of the given years, with ``source_table``.
+
+    A ``where`` that depends on the table returns what its rule is known by, and the rule.
+    """
     if isinstance(tables, CensusStep):
         return _from_step(tables, cfg, years, keep, where)
     names = discover(tables, cfg.census_tables, years, cfg.census_exclude)
     need = [*keep, "ncyearactual", "ageatstart"] if where is not None else keep
     columns = {c: CENSUS_COLUMNS[c] for c in dict.fromkeys(need)}
     types = {c: CENSUS_TYPES[c] for c in columns}
-    return union_family(tables, names, columns, types, optional, where, keep)
+    return union_family(tables, names, columns, types, optional, (lambda n: where(n)[1]) if callable(where) else where, keep)
 
 
 def _from_step(step: CensusStep, cfg: Config, years: Iterable[int], keep: Sequence[str], where) -> DataFrame:
     names = discover(step.tables, cfg.census_tables, years, cfg.census_exclude)
     table, cond = F.col("source_table"), where
     if callable(where):
-        by_text: dict[str, tuple[Column, list[str]]] = {}
+        by_rule: dict[Hashable, tuple[Column, list[str]]] = {}
         for n in names:
-            by_text.setdefault(str(where(n)), (where(n), []))[1].append(n)
-        cond = reduce(lambda a, b: a | b, [table.isin(ns) & c for c, ns in by_text.values()], F.lit(False))
+            rule, c = where(n)
+            by_rule.setdefault(rule, (c, []))[1].append(n)
+        cond = reduce(lambda a, b: a | b, [table.isin(ns) & c for c, ns in by_rule.values()], F.lit(False))
     rows = step.rows.filter(table.isin(names))
     return (rows if cond is None else rows.filter(cond)).select(*keep, "source_table")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from linkcohort.config import Config
 from linkcohort.functions import any_true, count_true, month_date, september
 from linkcohort.operators import attach, dcast, eligibility, exists_summary, highest
-from linkcohort.plans.care import ATTENDED, highest_social_care
+from linkcohort.plans.care import ATTENDED, attendance_summary, highest_social_care, waiting_time
 from linkcohort.plans.phenotypes import PRESENTATIONS
 from linkcohort.plans.school import ANNUAL_RATES
 
@@ -42,9 +42,14 @@ def phenotype_summary(codes: DataFrame, cfg: Config) -> DataFrame:
 
 
 def contact_summary(contacts: DataFrame, cfg: Config) -> DataFrame:
-    if cfg.attended_only:
-        contacts = contacts.filter(F.col("attended").isin(*ATTENDED))
-    return contacts.groupBy("tpid").agg(F.lit(True).alias("ever_attended_cpc"), F.min("apptdate").alias("date_first_cpc"))
+    """Any and first contact; attendance and waiting time where the configuration asks for them, of all contacts."""
+    seen = F.col("attended").isin(*ATTENDED) if cfg.attended_only else F.lit(True)
+    out = contacts.groupBy("tpid").agg(F.bool_or(seen).alias("ever_attended_cpc"), F.min(F.when(seen, F.col("apptdate"))).alias("date_first_cpc"))
+    if cfg.attendance:
+        out = out.join(attendance_summary(contacts).drop("date_first_attended"), "tpid")
+    if cfg.waiting_times:
+        out = out.join(waiting_time(contacts), "tpid")
+    return out.withColumn("ever_attended_cpc", F.coalesce("ever_attended_cpc", F.lit(False)))
 
 
 def enrolment_summary(rows: DataFrame) -> DataFrame:

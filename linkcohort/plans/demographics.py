@@ -41,7 +41,7 @@ def modal_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFra
 
     def where(name: str):
         years = READING_YEARS[:-1] if omit7 and no_ethnicity.search(name) else READING_YEARS
-        return year_group(years, "<=", 11)
+        return years, year_group(years, "<=", 11)
 
     census = census_rows(
         tables, cfg, cfg.primary_years, MODAL_RAW, where,
@@ -152,9 +152,9 @@ def hospital_modal_demographics(df: DataFrame, cols: Sequence[str], cfg: Config,
 
 
 def hospital_demographics(tables: Tables, cfg: Config, spine: DataFrame) -> DataFrame:
-    """Each member's most frequent sex, ethnic group and deprivation decile in hospital episodes of primary school years.
+    """Each member's most frequent sex, ethnic group and deprivation decile in the hospital extracts of the cohorts' primary school years.
 
-    Rows that repeat the values of an episode start count once; a column that a
+    These are the same years' extracts for everyone, not the person's own school years. Rows that repeat the values of an episode start count once; a column that a
     year's extract lacks is missing there.
     """
     columns = {

@@ -23,6 +23,7 @@ PRESENTATIONS = {
 }
 MEDICAL = "medical"
 NOT_COUNTED = "selfharm_xz_codes"  # flag2 value ignored for externalising and self-harm
+METHODS = 1_000
 OUT = ["tpid", "y7_year", "code", "group", "epistart", "phen_group"]
 
 
@@ -49,7 +50,15 @@ def long_codes(df: DataFrame, emergency: DataFrame | None = None) -> DataFrame:
 
 
 def mark_urgent(df: DataFrame, emergency: DataFrame) -> DataFrame:
-    """``urgent``: whether the admission method is on the list."""
+    """``urgent``: whether the admission method is on the list.
+
+    Methods are few, and a few hold nearly all rows, so dealing the rows out by
+    them would be uneven: a list of up to ``METHODS`` is a condition on the rows, and
+    only a longer one is joined.
+    """
+    methods = [r.code for r in emergency.select("code").distinct().limit(METHODS + 1).collect()]
+    if len(methods) <= METHODS:
+        return df.withColumn("urgent", F.coalesce(F.col("admimeth").isin(methods), F.lit(False)) if methods else F.lit(False))
     urgent = emergency.select(F.col("code").alias("admimeth")).distinct().withColumn("_urgent", F.lit(True))
     return df.join(urgent, "admimeth", "left").withColumn("urgent", F.coalesce("_urgent", F.lit(False))).drop("_urgent")
 

@@ -34,6 +34,7 @@ class Step:
     families: Callable[[Config], list[Family]] = lambda c: []
     lists: tuple[str, ...] = ()
     csv: tuple[str, ...] = ()
+    any_csv: tuple[str, ...] = ()  # one of them, the first that is there
     reads: tuple[str, ...] = (SPINE,)
     wanted: Callable[[Config], bool] = lambda c: True
     rules: Mapping[str, str] = field(default_factory=dict)
@@ -79,7 +80,16 @@ def _phenotypes(study: Study, done: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _social_care(study: Study, done: Mapping[str, DataFrame]) -> DataFrame:
-    return care.social_care(study.csv["cin"], study.csv["cla"], study.config, done[SPINE])
+    cin = study.csv["cin"] if "cin" in study.csv else care.current_referrals(study.csv["referrals"])
+    return care.social_care(cin, study.csv["cla"], study.config, done[SPINE])
+
+
+def _referral_periods(study: Study, done: Mapping[str, DataFrame]) -> DataFrame:
+    return care.referral_periods(study.csv["referrals"], study.config, done[SPINE])
+
+
+def _contacts(study: Study, done: Mapping[str, DataFrame]) -> DataFrame:
+    return care.outpatient_contacts(study.tables, study.config, done[SPINE], referred=study.config.waiting_times)
 
 
 PHENOTYPE_LISTS = ("chronic", "presentations", "presentations_medical", "emergency_admissions")
@@ -103,7 +113,7 @@ STEPS: dict[str, Step] = {s.name: s for s in (
         rules={"overall within possible": "abs_overall_rate <= 100", "parts within overall": "greatest(abs_auth_rate, abs_unauth_rate) <= abs_overall_rate"},
     ),
     Step("exams", _from_tables(school.exams), lambda c: [(f"^{c.exam_table}", None)]),
-    Step("contacts", _from_tables(care.outpatient_contacts), lambda c: [(c.outpatient_tables, c.hospital_years)]),
+    Step("contacts", _contacts, lambda c: [(c.outpatient_tables, c.hospital_years)]),
     Step(
         "birth_records", _from_tables(births.birth_characteristics, *BIRTH_LISTS), lambda c: [(c.episode_tables, c.birth_years)], BIRTH_LISTS,
         wanted=lambda c: c.inception == "school",
@@ -115,5 +125,9 @@ STEPS: dict[str, Step] = {s.name: s for s in (
     # written first: chronic conditions and presentations each read it
     Step(CODES, _hospital_codes, lambda c: [(c.episode_tables, c.hospital_years)], PHENOTYPE_LISTS, part=False),
     Step("phen_codes", _phenotypes, lists=PHENOTYPE_LISTS, reads=(SPINE, CODES)),
-    Step("social_care", _social_care, csv=("cin", "cla")),
+    Step("social_care", _social_care, csv=("cla",), any_csv=("cin", "referrals")),
+    Step(
+        "referral_periods", _referral_periods, csv=("referrals",), part=False,
+        rules={"closed after it began": "coalesce(closuredate >= referraldate, true)"},
+    ),
 )}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from linkcohort.config import Config
 from linkcohort.plans.combine import combine_summaries, summaries
-from linkcohort.plans.steps import FINAL, SPINE, STEPS, Step
+from linkcohort.plans.steps import CENSUS, FINAL, SPINE, STEPS, Step
 from linkcohort.sources import (
     Mark, Tables, checked_root, content_key, discover, key_of, load_bucketed, open_table, read_marks,
     save_bucketed, save_step, schema_from, shared_dir, write_mark, write_table,
@@ -22,7 +22,7 @@ from linkcohort.sources import (
 
 BY_PERSON = "by_person"  # what the names of summaries laid out by person begin with
 IDS = ("pmr", "tpid")
-ONLY_COMBINED = ("attended_only", "phenotype_from", "phenotype_to", "exclusion_kinds")  # settings no module reads
+ONLY_COMBINED = ("attended_only", "attendance", "phenotype_from", "phenotype_to", "exclusion_kinds")  # settings no module reads
 
 
 @dataclass
@@ -32,7 +32,7 @@ class Study:
     ``tables`` is a session (its catalog's tables and views) or a mapping of names
     to DataFrames. ``codelists`` may hold births, multiple_still_births, chronic,
     presentations, presentations_medical, emergency_admissions, inception; ``csv`` may
-    hold cin and cla; ``register`` is a school register (urn, type1, type2). Modules whose
+    hold cla and cin, or in place of cin referrals, their yearly snapshots; ``register`` is a school register (urn, type1, type2). Modules whose
     inputs are missing are skipped.
 
     Every step is written below ``root`` (by default the session's checkpoint
@@ -124,17 +124,20 @@ class Study:
         out = []
         for s in STEPS.values():
             ready = all(self.has(*f) for f in s.families(self.config)) and set(s.lists) <= set(self.codelists) and set(s.csv) <= set(self.csv)
-            if s.name != SPINE and ready and s.wanted(self.config) and all(r == SPINE or r in out or r == "census" for r in s.reads):
+            ready = ready and (not s.any_csv or bool(set(s.any_csv) & set(self.csv)))
+            if s.name != SPINE and ready and s.wanted(self.config) and all(r == SPINE or r in out for r in s.reads):
                 out.append(s.name)
         return out
 
     def _inputs(self, step: Step) -> list[str]:
         names = sorted({n for f in step.families(self.config) for n in discover(self.tables, *f)})
-        reading_all = step.name in (SPINE, "census")  # whose families depend on the settings
+        reading_all = step.name in (SPINE, CENSUS)  # whose families depend on the settings
         if reading_all:
             names = sorted(discover(self.tables, "", None))
         tables = [f"{n}:{open_table(self.tables, n).schema.simpleString()}" for n in names]
-        csv = [f"{n}:{self.csv[n].schema.simpleString()}" for n in step.csv]
+        csv = [f"{n}:{self.csv[n].schema.simpleString()}" for n in (*step.csv, *step.any_csv) if n in self.csv]
+        if step.name == "demographics_ever" and self.register is not None:
+            csv.append(f"register:{self.register.schema.simpleString()}")
         return tables + csv + [f"{n}:{self._list_keys[n]}" for n in (step.lists or (self.codelists if reading_all else ())) if n in self._list_keys]
 
     @cached_property

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from linkcohort.functions import max_or_null
 from linkcohort.operators import (
-    any_in_group, dense_rank_in, ever, first_clear_event, first_date, first_per, highest, latest, modal, number_rows,
-    pooled_modal, resolve, run_id, weighted_modal,
+    any_in_group, bound_state, collapse_intervals, count_state, dense_rank_in, ever, first_clear_event, first_date, first_per, highest, latest,
+    merge_bounds, merge_counts, modal, modes_of, number_rows, pooled_modal, resolve, run_id, weighted_modal,
 )
+from linkcohort.sources import save_step
 from workload import Data, case
 
 ORDER = ["o_orderdate", "o_orderkey"]
@@ -257,3 +258,60 @@ WHERE day >= DATE '1994-01-01' AND day < DATE '1997-01-01' AND (before IS NULL O
 def q_first_clear_event(d: Data):
     rows = d.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("day"))
     return first_clear_event(rows, "o_custkey", "day", 120, F.lit("1994-01-01").cast("date"), F.lit("1997-01-01").cast("date"))
+
+
+def _early_and_late(d: Data):
+    early = F.year("o_orderdate") <= 1996
+    return d.orders.filter(early), d.orders.filter(~early)
+
+
+@case(f"""
+SELECT k.o_custkey, a.o_orderpriority, b.o_shippriority FROM (SELECT DISTINCT o_custkey FROM orders) k
+LEFT JOIN (SELECT o_custkey, o_orderpriority FROM (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders WHERE o_orderpriority <> '3-MEDIUM' GROUP BY 1, 2)
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_orderpriority) = 1) a ON a.o_custkey = k.o_custkey
+LEFT JOIN (SELECT o_custkey, o_shippriority FROM (SELECT o_custkey, CAST(o_orderkey % 5 AS BIGINT) AS o_shippriority, count(*) AS n FROM orders GROUP BY 1, 2)
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY n DESC, o_shippriority) = 1) b ON b.o_custkey = k.o_custkey
+""")
+def q_refresh_modal(d: Data):
+    """Modes of all years from the stored counts of the first and those of the extract that came later."""
+    def counts(rows):
+        rows = rows.select("o_custkey", F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("o_orderpriority"), (F.col("o_orderkey") % 5).alias("o_shippriority"))
+        return count_state(rows, "o_custkey", ["o_orderpriority", "o_shippriority"])
+
+    early, late = _early_and_late(d)
+    return modes_of(merge_counts(_stored(d, counts(early)), counts(late)), "o_custkey", {"o_orderpriority": "string", "o_shippriority": "bigint"})
+
+
+@case("""
+SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS day_least, CAST(max(o_orderdate) AS DATE) AS day_greatest, min(o_totalprice) AS o_totalprice_least,
+  max(o_totalprice) AS o_totalprice_greatest, bool_or(o_orderpriority = '1-URGENT') AS ever_urgent FROM orders GROUP BY 1
+""")
+def q_refresh_bounds(d: Data):
+    """First and last days, extremes and flags, old years stored, the new merged in."""
+    def bounds(rows):
+        rows = rows.withColumn("day", F.col("o_orderdate").cast("date"))
+        return bound_state(rows, "o_custkey", ["day", "o_totalprice"], {"ever_urgent": F.col("o_orderpriority") == "1-URGENT"})
+
+    early, late = _early_and_late(d)
+    return merge_bounds(_stored(d, bounds(early)), bounds(late))
+
+
+def _stored(d: Data, state):
+    from workload.study import folder
+
+    return save_step(state, "state", folder(d))
+
+
+@case("""
+WITH i AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS opened, CASE WHEN o_orderkey % 97 > 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 150 AS INTEGER) - 5 END AS closed FROM orders),
+e AS (SELECT o_custkey, opened, greatest(coalesce(closed, DATE '9999-12-31'), opened) AS til FROM i),
+w AS (SELECT *, CASE WHEN opened <= max(til) OVER (PARTITION BY o_custkey ORDER BY opened, til ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3 THEN 0 ELSE 1 END AS opens FROM e),
+p AS (SELECT *, sum(opens) OVER (PARTITION BY o_custkey ORDER BY opened, til ROWS UNBOUNDED PRECEDING) AS k FROM w)
+SELECT o_custkey, min(opened) AS opened, nullif(max(til), DATE '9999-12-31') AS closed, count(*) AS n FROM p GROUP BY o_custkey, k
+""")
+def q_collapse_intervals(d: Data):
+    rows = d.orders.select(
+        "o_custkey", F.col("o_orderdate").cast("date").alias("opened"),
+        F.when(F.col("o_orderkey") % 97 > 0, F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 150 - 5).cast("int"))).alias("closed"),
+    )
+    return collapse_intervals(rows, "o_custkey", "opened", "closed", gap=3)

@@ -2,13 +2,15 @@
 
 import tempfile
 import uuid
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from linkcohort.config import Config
-from linkcohort.plans import demographics, school
+from linkcohort.plans import care, demographics, school
+from linkcohort.plans.combine import combine
 from linkcohort.plans.compare import compare_demographics
 from linkcohort.plans.study import Study
 from linkcohort.sources import codelist, read_codelist, read_csv_module, shared_dir, write_table
@@ -148,6 +150,71 @@ def q_study_event(d: Data):
     return Study(d.spark, s.birth_tables(d), {"inception": inception}, EVENT_CONFIG, root=folder(d)).run()
 
 
+_REFERRALS = f"""latest AS (SELECT 'P' || o_custkey AS pmr, CAST(o_orderdate AS DATE) - {s.SHIFT} AS opened,
+  CASE WHEN o_orderkey % 19 > 0 THEN CAST(o_orderdate AS DATE) - {s.SHIFT} + CAST(o_orderkey % 300 AS INTEGER) + CASE WHEN o_orderkey % 3 = 0 THEN 30 ELSE 0 END END AS closed,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus = 'F' ELSE FALSE END AS cin, o_orderkey % 3 = 0 AND o_orderpriority = '1-URGENT' AS cpp FROM orders)"""
+
+
+def referrals(d: Data):
+    """Each referral in one yearly snapshot, or in two, of which the second says more."""
+    opened, key = F.date_sub(F.col("o_orderdate").cast("date"), s.SHIFT), F.col("o_orderkey")
+    later = d.orders.withColumn("again", F.explode(F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    second = F.col("again") == 1
+    return later.select(
+        F.concat(F.lit("P"), F.col("o_custkey")).alias("pmr"), key.alias("referral_id"), (F.year("o_orderdate") + F.col("again")).alias("snapshot"), opened.alias("referraldate"),
+        F.when(key % 19 > 0, F.date_add(opened, (key % 300 + F.col("again") * 30).cast("int"))).alias("closuredate"),
+        (second & (F.col("o_orderstatus") == "F")).alias("need_episode"), (second & (F.col("o_orderpriority") == "1-URGENT")).alias("cpp"),
+    )
+
+
+@case(f"""
+{FROM_CENSUS}, {_REFERRALS},
+care_rows AS (SELECT pmr, opened AS day, cin, cpp, FALSE AS cla FROM latest
+  UNION ALL SELECT 'P' || l_partkey, CAST(l_shipdate AS DATE) - {s.SHIFT}, FALSE, FALSE, TRUE FROM lineitem),
+care AS (SELECT s.pmr, bool_or(cin) AS ever_cin, bool_or(cpp) AS ever_cpp, bool_or(cla) AS ever_cla FROM care_rows r JOIN spine s ON s.pmr = r.pmr
+  WHERE day >= make_date(CAST(s.y7_year AS BIGINT) - 7, 9, 1) AND day < make_date(CAST(s.y7_year AS BIGINT) - 1, 8, 31) GROUP BY 1)
+SELECT sp.pmr, sp.y7_year, sp.tpid, {', '.join(f"coalesce({c}, FALSE) AS {c}" for c in ("ever_cin", "ever_cpp", "ever_cla"))},
+  CASE WHEN ever_cla THEN 'CLA' WHEN ever_cpp THEN 'CPP' WHEN ever_cin THEN 'CiN' ELSE 'None' END AS highest_csc
+FROM spine sp LEFT JOIN care ON care.pmr = sp.pmr
+""")
+def q_study_referrals(d: Data):
+    """A study that is given the raw snapshots of referrals; its other modules are left out."""
+    _, cla = s.social_care_frames(d)
+    study = Study(d.spark, s.census_tables(d), {}, s.CONFIG, {"referrals": referrals(d), "cla": cla}, root=folder(d))
+    return study.run(skip=["demographics_modals", "demographics_y7", "demographics_ever", "enrolments"])
+
+
+@case(f"""
+WITH {s.SPINE}, {_REFERRALS},
+own AS (SELECT s.pmr, opened, greatest(coalesce(closed, DATE '9999-12-31'), opened) AS til FROM latest l JOIN spine s ON s.pmr = l.pmr
+  WHERE opened >= make_date(CAST(s.y7_year AS BIGINT) - 7, 9, 1) AND opened < make_date(CAST(s.y7_year AS BIGINT) - 1, 8, 31)),
+w AS (SELECT *, CASE WHEN opened <= max(til) OVER (PARTITION BY pmr ORDER BY opened, til ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM own),
+p AS (SELECT *, sum(opens) OVER (PARTITION BY pmr ORDER BY opened, til ROWS UNBOUNDED PRECEDING) AS k FROM w)
+SELECT pmr, min(opened) AS referraldate, nullif(max(til), DATE '9999-12-31') AS closuredate, count(*) AS n_referrals FROM p GROUP BY pmr, k
+""")
+def q_referral_periods(d: Data):
+    return care.referral_periods(referrals(d), s.CONFIG, s.spine(d))
+
+
+@case(f"""
+WITH {s.SPINE}, {s.CONTACTS}, t AS (SELECT tpid, bool_or(attended IN ('5', '6')) AS seen, min(apptdate) FILTER (WHERE attended IN ('5', '6')) AS first_seen,
+    count(*) FILTER (WHERE attended IN ('5', '6')) AS n_attended, count(*) FILTER (WHERE attended IN ('2', '4')) AS n_cancelled,
+    count(*) FILTER (WHERE attended IN ('3', '7')) AS n_missed, count(*) FILTER (WHERE firstatt IN ('1', '3')) AS n_first, count(*) FILTER (WHERE firstatt NOT IN ('1', '3')) AS n_follow_up,
+    min(apptdate - CAST(substr(tpid, 2) AS INTEGER) % 40) AS any_request, min(apptdate) FILTER (WHERE attended IN ('5', '6')) - CAST(substr(tpid, 2) AS INTEGER) % 40 AS request
+  FROM contacts GROUP BY tpid)
+SELECT sp.pmr, sp.y7_year, sp.tpid, CASE WHEN sp.tpid IS NOT NULL THEN coalesce(seen, FALSE) END AS ever_attended_cpc, first_seen AS date_first_cpc,
+  n_attended, n_cancelled, n_missed, n_first, n_follow_up, CASE WHEN seen THEN request ELSE any_request END AS reqdate, first_seen AS date_first_attended,
+  CAST(first_seen - request AS INTEGER) AS waiting_days
+FROM spine sp LEFT JOIN t ON t.tpid = sp.tpid
+""")
+def q_combine_contacts(d: Data):
+    """Attendance and waiting times of contacts in the combined dataset."""
+    wait = F.substring(F.col("TOKEN_PERSON_ID"), 2, 20).cast("int") % 40
+    tables = {n: df.withColumn("REQDATE", F.date_sub(F.col("APPTDATE").cast("date"), wait).cast("string")) for n, df in s.outpatient_tables(d).items()}
+    cfg, spine = replace(s.CONFIG, attendance=True, waiting_times=True, attended_only=True), s.spine(d)
+    return combine(spine, {"contacts": care.outpatient_contacts(tables, cfg, spine, referred=True)}, cfg)
+
+
 @case(f"""
 WITH {s.SPINE}, {s.CENSUS}, {s.AP}, {s.PRU}, {m.MODALS}, {m.HOSPITAL_MODAL},
 b AS (SELECT CAST(md.female AS VARCHAR) AS f1, CAST(ho.hospital_female AS VARCHAR) AS f2, md.ethnicgroup AS e1, ho.hospital_ethnicgroup AS e2
