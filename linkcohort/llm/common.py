@@ -80,6 +80,16 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, underscores put before those that ``df`` has as columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once a row, however often the body uses it."""
     return F.transform(F.array(value), body)[0]

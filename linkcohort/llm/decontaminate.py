@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkcohort.llm.common import ascii_lower, cut, let
+from linkcohort.llm.common import ascii_lower, cut, free_names, let
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # fixed value: digits, a to z and everything beyond ASCII
 WINDOW = 10
@@ -157,10 +157,11 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, spans: bool = Fal
     """
     grams = cut(windows_of(benchmark, window), "windows")
     found = cut(candidates(docs.select("doc_id", "text"), grams), "candidates")
-    own = cut(hits(found, grams), "hits").select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"), F.col("spans").alias("_hit_spans"))
-    same = docs["doc_id"].eqNullSafe(F.col("_hit_id")) & (_key(docs) == F.col("_hit_key"))
+    hit_id, hit_key, hit_spans, left = free_names(docs, "hit_id", "hit_key", "hit_spans", "rest")
+    own = cut(hits(found, grams), "hits").select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key), F.col("spans").alias(hit_spans))
+    same = docs["doc_id"].eqNullSafe(F.col(hit_id)) & (_key(docs) == F.col(hit_key))
     if not spans:
-        return docs.join(own.drop("_hit_spans"), same, "left_anti")
+        return docs.join(own.drop(hit_spans), same, "left_anti")
 
     def rest(text, spans):
         cased = F.lit(f"({WORD.replace('x60', 'x40').replace('x7B', 'x5B-\\x60\\x7B')})")
@@ -168,7 +169,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, spans: bool = Fal
         return let(words, lambda w: let(between, lambda b: let(covered(spans), lambda hit: F.concat(
             F.array_join(F.transform(w, lambda x, i: F.concat(F.get(b, i), F.when(F.array_contains(hit, i), "").otherwise(x))), ""), F.get(b, F.size(w))))))
 
-    text = F.when(F.col("_hit_spans").isNull(), docs["text"]).otherwise(rest(docs["text"], F.col("_hit_spans")))
-    out = docs.join(own, same, "left").withColumn("_rest", text)
-    cols = [F.col("_rest").alias("text") if c == "text" else F.length("_rest").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
+    text = F.when(F.col(hit_spans).isNull(), docs["text"]).otherwise(rest(docs["text"], F.col(hit_spans)))
+    out = docs.join(own, same, "left").withColumn(left, text)
+    cols = [F.col(left).alias("text") if c == "text" else F.length(left).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
     return out.select(*cols)

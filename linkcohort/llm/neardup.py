@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkcohort.llm.common import arrow_schema, components, cut, map_arrow
+from linkcohort.llm.common import arrow_schema, components, cut, free_names, map_arrow
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 WORDS_HELD = 400_000
@@ -302,8 +302,9 @@ def drop_near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame
     kept = _judged(docs, s).filter("kept")
     worded = kept.filter("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "text_key")).alias("r")).select("r.*")
     blank = kept.filter("n_shingles = 0").select("doc_id", "text_key").distinct()
-    keys = worded.unionByName(blank).select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"))
-    key = docs["doc_id"].eqNullSafe(F.col("_kept_id")) & (text_key(docs) == F.col("_kept_key"))
+    own, kept_key = free_names(docs, "kept_id", "kept_key")
+    keys = worded.unionByName(blank).select(F.col("doc_id").alias(own), F.col("text_key").alias(kept_key))
+    key = docs["doc_id"].eqNullSafe(F.col(own)) & (text_key(docs) == F.col(kept_key))
     rows = docs.join(cut(keys, "kept"), key, "left_semi")
     blank_row = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")) == 0
     return rows.filter(~blank_row).dropDuplicates(["doc_id", "text"]).unionByName(rows.filter(blank_row))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkcohort.llm.common import arrow_schema, cut, map_arrow
+from linkcohort.llm.common import arrow_schema, cut, free_names, map_arrow
 
 BUCKETS = 1 << 14  # of hashed unigrams and bigrams
 MAX_LABELLED = 20_000  # labelled documents of either kind that are used, at most
@@ -152,5 +152,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    kept = score_documents(docs, labels).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept_id")) & (F.xxhash64(docs["text"]) == F.col("_kept_key")), "left_semi")
+    own, key = free_names(docs, "kept_id", "kept_key")
+    kept = score_documents(docs, labels).filter("kept").select(F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(docs["text"]) == F.col(key)), "left_semi")
