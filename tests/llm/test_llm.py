@@ -395,3 +395,27 @@ def test_pipeline_stages_keep_their_contract(spark):
         assert not re.search(r"[a-z0-9]@[a-z0-9-]+\.[a-z]", r.text)
     kept = {d: k for d, _, _, k in near_brute([(r.doc_id, r.text) for r in own], 5, 80)}
     assert all(kept.values())  # no near-duplicates are left
+
+
+def test_short_secrets_of_common_formats_are_found(spark):
+    """Recall by format and length on planted secrets, and ordinary runs left alone, with what is learned from the texts themselves."""
+    r = random.Random(21)
+    base62 = credentials.DIGITS + credentials.UPPER + credentials.LOWER
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    kinds = {
+        "base62 of 16": lambda: some(base62, 16), "base62 of 20": lambda: some(base62, 20), "base62 of 40": lambda: some(base62, 40), "base64 of 40": lambda: some(base62 + "+/", 40),
+        "AKIA and 12": lambda: "AKIA" + some(credentials.DIGITS + credentials.UPPER, 12), "hex of 20": lambda: some("0123456789abcdef", 20), "upper hex of 32": lambda: some("0123456789ABCDEF", 32),
+        "lower of 16": lambda: some(credentials.DIGITS + credentials.LOWER, 16), "identifier": lambda: "-".join(some("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)),
+    }
+    planted = [(k, make()) for k, make in kinds.items() for _ in range(60)]
+    rows = [(i, f"{prose(30, 5000 + i)} {secret} {prose(30, 7000 + i)}") for i, (_, secret) in enumerate(planted)]
+    plain = [some(credentials.DIGITS, 16), "=" * 40, "2024-01-15-2024-02-20"]  # and compounds of the texts' own words
+    plain += [join.join(w.replace("é", "e") for w in r.sample(WORDS, 4)) for join in ("/", "-", "_", "") for _ in range(5)] + ["".join(w.replace("é", "e").capitalize() for w in r.sample(WORDS, 5)) for _ in range(5)]
+    rows += [(10_000 + i, f"{prose(40, 9000 + i)} {r.choice(plain)} {prose(10, i)}") for i in range(400)]
+    got = {x.doc_id: x.spans for x in credentials.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text, share = dict(rows), {}
+    for i, (k, secret) in enumerate(planted):
+        at = text[i].index(secret)
+        share.setdefault(k, []).append(f":{at}:{at + len(secret)}" in got[i])
+    assert all(sum(v) >= 0.9 * len(v) for v in share.values()), {k: sum(v) / len(v) for k, v in share.items()}
+    assert sum(got[i] != "" for i in got if i >= 10_000) <= 12  # three in a hundred at most, in so few and so odd words
