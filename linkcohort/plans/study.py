@@ -16,7 +16,7 @@ from linkcohort.config import Config
 from linkcohort.plans.combine import combine_summaries, summaries
 from linkcohort.plans.steps import CENSUS, FINAL, SPINE, STEPS, Step
 from linkcohort.sources import (
-    Mark, Tables, checked_root, content_key, discover, key_of, load_bucketed, open_table, read_marks,
+    Mark, Tables, checked_root, content_key, discover, in_shared_dir, key_of, load_bucketed, open_table, read_marks,
     save_bucketed, save_step, schema_from, shared_dir, write_mark, write_table,
 )
 
@@ -72,7 +72,10 @@ class Study:
 
     @property
     def folder(self) -> str:
-        root = checked_root(self.spark, self.root) if self.root else shared_dir(self.spark)
+        if not self.root:
+            root = shared_dir(self.spark)
+        else:
+            root = self.root.rstrip("/") if in_shared_dir(self.spark, self.root) else checked_root(self.spark, self.root)
         return f"{root}/{self.name}"
 
     def save(self, df: DataFrame, step: str, partition_by: Sequence[str] = ()) -> DataFrame:

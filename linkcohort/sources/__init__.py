@@ -1,6 +1,6 @@
 from linkcohort.sources.catalog import Tables, discover, open_table, table_names
 from linkcohort.sources.files import (
-    checked_root, codelist, load_step, normalise_codelist, read_codelist,
+    checked_root, codelist, in_shared_dir, load_step, normalise_codelist, read_codelist,
     read_csv_module, save_step, shared_dir, write_table,
 )
 from linkcohort.sources.harmonise import (
@@ -13,7 +13,7 @@ from linkcohort.sources.marks import (
 
 __all__ = [
     "Mark", "Tables", "checked_root", "census_term", "census_year", "codelist", "content_key", "discover",
-    "find_column", "harmonise", "key_of", "load_bucketed", "load_step", "lower_names", "normalise_codelist", "numbered",
+    "find_column", "harmonise", "in_shared_dir", "key_of", "load_bucketed", "load_step", "lower_names", "normalise_codelist", "numbered",
     "open_table", "read_codelist", "read_csv_module", "read_marks", "save_bucketed", "save_step", "schema_from", "shared_dir", "table_names",
     "union_all", "union_family", "write_mark", "write_table", "year_group",
 ]

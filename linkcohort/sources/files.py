@@ -63,14 +63,18 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     ``fallback`` is used only where the session names none, and may be a local
     folder in local mode only.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
+    if named := _checkpoint_dir(spark):
+        return named
     if fallback:
         return checked_root(spark, fallback)
     raise ValueError("set spark.checkpoint.dir to a folder all executors share, or pass one")
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named.rstrip("/") if named else None
+
+
 def checked_root(spark: SparkSession, path: str) -> str:
     """The path without its last slash; an error if it is on one machine only and the session is not."""
     scheme = path.split("://")[0] if "://" in path else "file"
@@ -79,6 +83,15 @@ def checked_root(spark: SparkSession, path: str) -> str:
     return path.rstrip("/")
 
 
+def in_shared_dir(spark: SparkSession, path: str) -> bool:
+    """Whether a path is the session's checkpoint directory or lies in it, which is shared whatever its scheme."""
+    def plain(p: str) -> str:
+        return re.sub("^file:/+", "/", p.rstrip("/")) + "/"
+
+    named = _checkpoint_dir(spark)
+    return bool(named) and ".." not in path.split("/") and plain(path).startswith(plain(named))
+
+
 def save_step(df: DataFrame, name: str, root: str, partition_by: Iterable[str] = (), mode: str = "error") -> DataFrame:
     """Write one module's result and read it back, which cuts its lineage.
 
@@ -94,6 +107,6 @@ def load_step(spark: SparkSession, name: str, root: str) -> DataFrame:
 
 
 __all__ = [
-    "checked_root", "codelist", "load_step", "normalise_codelist", "read_codelist",
+    "checked_root", "codelist", "in_shared_dir", "load_step", "normalise_codelist", "read_codelist",
     "read_csv_module", "save_step", "shared_dir", "write_table",
 ]

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkcohort import sources as src
+from linkcohort.plans.study import Study
 from tests.conftest import rows
 
 
@@ -106,3 +107,22 @@ def test_a_local_folder_is_refused_on_a_cluster():
     for path in ("/tmp/x", "file:///tmp/x"):
         with pytest.raises(ValueError):
             src.checked_root(Cluster, path)
+
+
+@pytest.mark.parametrize("shared", ["/shared/place/", "file:///shared/place"])
+def test_a_study_below_the_checkpoint_directory_of_a_cluster(shared):
+    class Cluster:
+        conf = {"spark.checkpoint.dir": shared}
+
+        class sparkContext:
+            master = "local-cluster[2,4,3000]"
+
+    def folder(root):
+        return Study(Cluster, {}, {}, root=root, name="mine").folder
+
+    for root in ("/shared/place/a", "file:///shared/place/a/", "/shared/place"):
+        assert folder(root) == f"{root.rstrip('/')}/mine"
+    assert folder(None) == f"{shared.rstrip('/')}/mine"
+    for root in ("/shared/placed", "/tmp/x", "/shared/place/../x"):
+        with pytest.raises(ValueError):
+            folder(root)
