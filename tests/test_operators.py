@@ -9,6 +9,7 @@ from linkcohort import functions as fn
 from linkcohort import operators as op
 from linkcohort.sources import codelist
 from tests.conftest import rows
+from workload.reduce import q_row_number_wide
 
 D = dt.date
 
@@ -188,3 +189,13 @@ def test_fill_from_second_source(spark):
     a = spark.createDataFrame([(1, "f"), (2, None), (3, "m")], "id int, sex string")
     b = spark.createDataFrame([(1, "f"), (2, "m"), (3, "f")], "id int, sex string")
     assert rows(op.fill_from(a, b, "id", ["sex"]), "id", "sex", "sex_differs") == [(1, "f", False), (2, "m", None), (3, "m", True)]
+
+
+def test_ids_beyond_64_bits_are_numbered(spark):
+    class Orders:
+        orders = spark.createDataFrame([(9_000_001, 1, "2000-01-01"), (9_000_002, 1, "2000-01-01"), (9_000_004, 1, "1999-01-01"), (9_000_003, None, None)], "o_orderkey long, o_custkey long, o_orderdate string")
+
+    got = {int(r.id): r.order_n for r in q_row_number_wide(Orders).collect()}
+    assert got == {-9_000_001 * 10**13: 2, 9_000_002 * 10**13: 3, 9_000_004 * 10**13: 1, -9_000_003 * 10**13: 1}
+    Orders.orders = Orders.orders.withColumn("o_orderkey", F.col("o_orderkey") - 9_000_000)
+    assert dict(q_row_number_wide(Orders).dtypes)["id"] == "bigint"

@@ -204,9 +204,12 @@ WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey * CASE
 SELECT id, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY day, id) AS INTEGER) AS order_n FROM o
 """)
 def q_row_number_wide(d: Data):
-    """Ids from end to end of the 64-bit numbers."""
+    """Ids from end to end of the 64-bit numbers; whole decimals where the keys are so large that an id is beyond them."""
+    least, most = d.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    fits = max(abs(least or 0), abs(most or 0)) * 10**13 < 2**63
+    key = F.col("o_orderkey").cast("long" if fits else "decimal(20,0)")
     sign = F.when(F.col("o_orderkey") % 2 == 0, F.lit(10**13)).otherwise(F.lit(-(10**13)))
-    rows = d.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("day"), (F.col("o_orderkey") * sign).alias("id"))
+    rows = d.orders.select("o_custkey", F.col("o_orderdate").cast("date").alias("day"), (key * sign).cast("long" if fits else "decimal(38,0)").alias("id"))
     return number_rows(rows, "o_custkey", "day", "id", "order_n").select("id", "o_custkey", "order_n")
 
 
