@@ -76,23 +76,25 @@ def match_codes(
     k in ``lengths``; a longer entry overrides a shorter one. An entry listed
     several times yields a row per listing.
 
-    Rows are read once whatever the lengths: each is expanded by its compared
-    prefixes, all are looked up in one join, which the optimizer broadcasts where
-    the codelist's size allows and shuffles otherwise, and of each row that
-    matched the longest is kept by a partial aggregate. Rows without a match do
-    not go beyond the join.
+    Rows are read once whatever the lengths, and joined once: entries that begin
+    alike, with the shortest length's characters, are one row of the lookup, in
+    which each row's prefixes are looked up. The optimizer broadcasts it where the
+    codelist's size allows and shuffles otherwise. Rows are neither expanded nor
+    grouped, so no task holds more of them than a join does.
     """
-    entries = codes.filter(F.length("code").isin(list(lengths))).groupBy(F.col("code").alias("_entry"))
+    lengths = sorted(set(lengths), reverse=True)
+    entries = codes.filter(F.length("code").isin(lengths)).groupBy(F.col("code").alias("_entry"))
     entries = entries.agg(F.collect_list(F.struct(F.lit(0).alias("_"), *attrs)).alias("_listed"))
-    if len(set(lengths)) == 1:
-        found = df.join(entries, F.substring(code_col, 1, lengths[0]) == F.col("_entry"))
-    else:
-        # numbered before they are expanded: the prefixes of a row share its number
-        rows = df.select(F.monotonically_increasing_id().alias("_id"), F.struct(*df.columns).alias("_of"), prefixes(code_col, lengths).alias("_prefixes"))
-        rows = rows.select("_id", "_of", F.explode("_prefixes").alias("_prefix"))
-        hits = rows.join(entries, F.col("_prefix") == F.col("_entry"))
-        best = hits.groupBy("_id").agg(F.max_by(F.struct("_of", "_entry", "_listed"), F.length("_entry")).alias("_best"))
-        found = best.select("_best.*").select("_of.*", "_entry", "_listed")
+    starts = entries.groupBy(F.substring("_entry", 1, lengths[-1]).alias("_start"))
+    starts = starts.agg(F.map_from_entries(F.collect_list(F.struct("_entry", "_listed"))).alias("_of_start"))
+
+    def looked_up(k: int) -> Column:
+        prefix = F.substring(code_col, 1, k)
+        listed = F.try_element_at("_of_start", prefix)
+        return F.when(listed.isNotNull(), F.struct(prefix.alias("_entry"), listed.alias("_listed")))
+
+    found = df.join(starts, F.substring(code_col, 1, lengths[-1]) == F.col("_start")).withColumn("_best", F.coalesce(*map(looked_up, lengths)))
+    found = found.filter(F.col("_best").isNotNull()).select(*df.columns, "_best._entry", "_best._listed")
     found = found.withColumn("_listing", F.explode("_listed"))
     return found.select(*df.columns, F.col("_entry").alias(matched), *[F.col("_listing")[a].alias(a) for a in attrs])
 

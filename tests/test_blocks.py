@@ -161,6 +161,13 @@ def test_codes_are_read_once_whatever_the_lengths(spark):
     assert len(re.findall("FileScan parquet", text)) == 2  # the rows, and their codes
 
 
+def test_rows_with_codes_are_not_grouped(spark):
+    parts = spark.read.parquet(f"{SMALL}/part.parquet").withColumnRenamed("p_brand", "code")
+    codes = codelist(spark, [("B1", "x"), ("B12", "y"), ("B123", "z")], ["code", "group"])
+    text = match_codes(parts, codes, ["group"], lengths=(2, 3, 4))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "hashpartitioning(_id" not in text
+
+
 def test_longest_entry_wins_for_repeated_rows_and_listings(spark):
     df = spark.createDataFrame([("B123", 1), ("B123", 1), ("B1", 2), ("C9", 3), (None, 4), ("", 5), ("B", 6), ("B2", None)], "code string, k int")
     codes = codelist(spark, [("B1", "x"), ("B12", "y"), ("B12", "y2"), ("B", "short"), ("B2", "w")], ["code", "group"])
