@@ -104,10 +104,10 @@ def spell_bounds(
     by_date = Window.partitionBy(person).orderBy("_adm")
     if mode == "merge":
         before = by_date.rowsBetween(Window.unboundedPreceding, -1)
-        adm = adm.withColumn("_new", F.coalesce(F.max("_dis").over(before) < F.col("_adm"), F.lit(True)).cast("int"))
-        adm = adm.withColumn("_island", F.sum("_new").over(by_date))
-        island = Window.partitionBy(person, "_island")
-        adm = adm.withColumns({"spell_start": F.min("_adm").over(island), "_end": F.max("_dis").over(island)})
+        adm = adm.withColumn("_new", F.coalesce(F.max("_dis").over(before) < F.col("_adm"), F.lit(True)))
+        # the latest opening up to here, in the same order: one sort serves both
+        adm = adm.withColumn("spell_start", F.max(F.when(F.col("_new"), F.col("_adm"))).over(by_date))
+        adm = adm.withColumn("_end", F.col("_dis"))
     else:
         adm = adm.withColumn("_linked", F.coalesce(F.col("_dis") >= F.lead("_adm").over(by_date), F.lit(False)))
         adm = adm.withColumns({

@@ -58,7 +58,10 @@ def mark_urgent(df: DataFrame, emergency: DataFrame) -> DataFrame:
     """
     methods = [r.code for r in emergency.select("code").distinct().limit(METHODS + 1).collect()]
     if len(methods) <= METHODS:
-        return df.withColumn("urgent", F.coalesce(F.col("admimeth").isin(methods), F.lit(False)) if methods else F.lit(False))
+        listed = F.coalesce(F.col("admimeth").isin(methods), F.lit(False)) if methods else F.lit(False)
+        # made by a generator, so that a filter on it stays here: pushed down to the extracts, it
+        # would have them read, made distinct and joined again for the urgent rows alone
+        return df.select("*", F.inline(F.array(F.struct(listed.alias("urgent")))))
     urgent = emergency.select(F.col("code").alias("admimeth")).distinct().withColumn("_urgent", F.lit(True))
     return df.join(urgent, "admimeth", "left").withColumn("urgent", F.coalesce("_urgent", F.lit(False))).drop("_urgent")
 

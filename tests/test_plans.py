@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from linkcohort.operators import attach, first_per, match_codes, modal
+from linkcohort.operators import attach, first_per, join_spells, los_nights, match_codes, modal, repair_dates, with_year7
+from linkcohort.plans import phenotypes
 from linkcohort.sources import codelist
 from tests.conftest import SMALL
 
@@ -87,3 +88,16 @@ def test_results_do_not_depend_on_partitions(spark, name, parts):
         spark.conf.set("spark.sql.shuffle.partitions", 8)
     by = list(want.columns)
     assert want.sort_values(by).reset_index(drop=True).equals(got.sort_values(by).reset_index(drop=True))
+
+
+def test_presentations_read_the_episodes_once(spark):
+    """The urgent rows are not read, made distinct and joined apart from all rows."""
+    rows = [("T1", "1990-01-05", "1990-01-06", "1990-01-05", "1990-01-09", "21", "R104", 2), ("T1", "1990-01-08", "1990-01-09", "1990-01-08", "1990-01-20", "11", "K35", 2)]
+    episodes = spark.createDataFrame(rows, "tpid string, epistart string, epiend string, admidate string, disdate string, admimeth string, codes string, startage int")
+    spine = spark.createDataFrame([("T1", 1996)], "tpid string, y7_year int")
+    spells = join_spells(repair_dates(with_year7(episodes, spine, "tpid"))).withColumn("spell_los_nights", los_nights())
+    lists = [codelist(spark, [("R10", "potentially_psych", "")], ["code", "group", "flag2"]), codelist(spark, [("K35", "icd10")], ["code", "code_type"]), codelist(spark, [("21",)], ["code"])]
+    out = phenotypes.presentations(phenotypes.long_codes(spells), *lists)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "admimeth" in x]
+    assert [(r.tpid, r.code, r.group) for r in out.collect()] == [("T1", "R104", "psych")]
