@@ -33,12 +33,19 @@ def sen_summary(ever_rows: DataFrame) -> DataFrame:
 
 
 def phenotype_summary(codes: DataFrame, cfg: Config) -> DataFrame:
+    """Any code of each group, of the persons with a code between the dates.
+
+    The dates are conditions within the aggregate: as a filter they would be pushed
+    down, and the episodes read and made distinct again for them.
+    """
     groups = [cfg.chronic_label, *PRESENTATIONS.values()]
+    dated = F.lit(True)
     if cfg.phenotype_from is not None:
-        codes = codes.filter(F.col("epistart") >= F.lit(cfg.phenotype_from))
+        dated &= F.col("epistart") >= F.lit(cfg.phenotype_from)
     if cfg.phenotype_to is not None:
-        codes = codes.filter(F.col("epistart") < F.lit(cfg.phenotype_to))
-    return exists_summary(codes, "tpid", {f"chc_{g}": F.col("phen_group") == g for g in groups})
+        dated &= F.col("epistart") < F.lit(cfg.phenotype_to)
+    out = exists_summary(codes, "tpid", {f"chc_{g}": (F.col("phen_group") == g) & dated for g in groups} | {"_dated": dated})
+    return out.filter("_dated").drop("_dated")
 
 
 def contact_summary(contacts: DataFrame, cfg: Config) -> DataFrame:

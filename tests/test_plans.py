@@ -1,13 +1,16 @@
 """What the plans may not contain, and what they must."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from linkcohort.config import Config
 from linkcohort.operators import attach, first_per, join_spells, los_nights, match_codes, modal, repair_dates, with_year7
 from linkcohort.plans import phenotypes
+from linkcohort.plans.combine import phenotype_summary
 from linkcohort.sources import codelist
 from tests.conftest import SMALL
 
@@ -101,3 +104,11 @@ def test_presentations_read_the_episodes_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "Filter" in x and "admimeth" in x]
     assert [(r.tpid, r.code, r.group) for r in out.collect()] == [("T1", "R104", "psych")]
+
+
+def test_dates_of_phenotypes_are_no_filter_on_the_episodes(spark):
+    rows = [("T1", "chronic", "1992-03-01"), ("T1", "psych", "1994-01-01"), ("T2", "chronic", "1991-12-31"), ("T3", "psych", None)]
+    codes = spark.createDataFrame(rows, "tpid string, phen_group string, epistart string").withColumn("epistart", F.col("epistart").cast("date"))
+    out = phenotype_summary(codes, Config(phenotype_from=dt.date(1992, 1, 1), phenotype_to=dt.date(1994, 1, 1)))
+    assert "Filter" not in plan(out).split("HashAggregate")[-1]  # the part below the aggregate
+    assert {r.tpid: (r.chc_chronic, r.chc_psych) for r in out.collect()} == {"T1": (True, False)}
