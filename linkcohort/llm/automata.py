@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-
+from heapq import heappop, heappush
 
 SYMBOLS = 11  # digits, four sorts of letters, some signs
 
@@ -43,6 +43,49 @@ class Automaton:
             self._add(symbols(s))
         self._infer()
 
+    @classmethod
+    def of_tree(cls, nodes: Mapping[str, Mapping[str, int]], alpha: float = 0.05) -> Automaton:
+        """Inferred from counted nodes of a prefix tree, by their symbols: how often each symbol comes next, the empty one for ends.
+
+        A node that is left out, with all below it, is too rare to be told from any
+        other state; like those that one string comes to, it is taken for the first state.
+        """
+        out = cls((), alpha)
+        nodes = nodes or {"": {}}
+        place = {prefix: i for i, prefix in enumerate(sorted(nodes))}
+        out.states = [
+            State(sum(n.values()), n.get("", 0), {c: k for c, k in sorted(n.items()) if c}, {c: place[prefix + c] for c in sorted(n) if c and prefix + c in place})
+            for prefix, n in sorted(nodes.items())
+        ]
+        out._infer()
+        for state in out.states:
+            state.to = {c: state.to.get(c, 0) for c in state.counts}
+        out.alphabet = {c for state in out.states for c in state.counts}
+        return out
+
+    def steps(self, word: str) -> Iterator[tuple[int, str]]:
+        """The states that symbols come to, and what comes next; the empty symbol at the end."""
+        at = 0
+        for c in word:
+            yield at, c
+            at = self.states[at].to.get(c, 0)
+        yield at, ""
+
+    def counted(self, counts: Mapping[tuple[int, str], int]) -> Automaton:
+        """The same states with the counts of the ``steps`` of all strings."""
+        out = type(self)(())
+        out.bound, out.states = self.bound, [State(to=dict(state.to)) for state in self.states]
+        for (at, c), n in sorted(counts.items()):
+            state = out.states[at]
+            state.n += n
+            if c:
+                state.counts[c] = n
+                state.to.setdefault(c, 0)
+                out.alphabet.add(c)
+            else:
+                state.ends = n
+        return out
+
     def _add(self, word: str) -> None:
         at = self.states[0]
         at.n += 1
@@ -72,9 +115,9 @@ class Automaton:
                     todo.append((p.to[c], q.to[c]))
         return True
 
-    def _fold(self, into: int, tree: int) -> None:
-        """Add a state of the tree, with all below it, to another state."""
-        todo = [(into, tree)]
+    def _fold(self, into: int, tree: int) -> list[tuple[int, str]]:
+        """Add a state of the tree, with all below it, to another state; returns the states and symbols that lead on anew."""
+        todo, new = [(into, tree)], []
         while todo:
             a, b = todo.pop()
             p, q = self.states[a], self.states[b]
@@ -82,27 +125,37 @@ class Automaton:
             p.ends += q.ends
             for c, n in q.counts.items():
                 p.counts[c] = p.counts.get(c, 0) + n
+            for c, below in q.to.items():
                 if c in p.to:
-                    todo.append((p.to[c], q.to[c]))
+                    todo.append((p.to[c], below))
                 else:
-                    p.to[c] = q.to[c]
+                    p.to[c] = below
+                    new.append((a, c))
+        return new
 
     def _infer(self) -> None:
         """Settled states in order; a state next to them is merged with the first compatible one, or settles."""
-        settled = [0]
-        while True:
-            edge = next(((r, c) for r in settled for c in sorted(self.states[r].to) if self.states[r].to[c] not in settled), None)
-            if edge is None:
-                return self._keep(settled)
-            source, c = edge
+        settled, place = [0], {0: 0}
+        todo = [(0, c) for c in sorted(self.states[0].to)]
+        while todo:
+            at, c = heappop(todo)
+            source = settled[at]
             b = self.states[source].to[c]
+            if b in place:
+                continue
             for r in settled:
                 if self._compatible(r, b):
                     self.states[source].to[c] = r
-                    self._fold(r, b)
+                    for a, d in self._fold(r, b):
+                        if a in place:
+                            heappush(todo, (place[a], d))
                     break
             else:
+                place[b] = len(settled)
                 settled.append(b)
+                for d in self.states[b].to:
+                    heappush(todo, (place[b], d))
+        self._keep(settled)
 
     def _keep(self, settled: list[int]) -> None:
         """Only the states that are left, in order: all others were merged into them."""
@@ -112,22 +165,27 @@ class Automaton:
             state.to = {c: number[to] for c, to in state.to.items()}
 
     def log_likelihood(self, text: str, floor: float = 0.05) -> float:
-        """Of a string, ending included. Unseen symbols and ends have a small share each; after an unseen symbol all are as likely."""
+        """Of a string, ending included. Unseen symbols and ends have a small share each; after an unseen symbol all of the alphabet are as likely."""
+        return self.likelihood_of_symbols(symbols(text), floor)
+
+    def likelihood_of_symbols(self, word: str, floor: float = 0.05) -> float:
         kinds = max(len(self.alphabet) + 1, SYMBOLS)  # a small alphabet does not make other strings likelier
         unseen = -math.log(kinds + 1)
         at, total = self.states[0], 0.0
-        word = symbols(text)
         for i, c in enumerate(word):
             total += math.log((at.counts.get(c, 0) + floor) / (at.n + floor * (kinds + 1)))
             if c not in at.to:
-                return total + unseen * (len(word) - i - 1)
+                strange = math.log(floor / (self.states[0].n + floor * (kinds + 1)))
+                return total + sum(unseen if d in self.alphabet else strange for d in word[i + 1 :])
             at = self.states[at.to[c]]
         return total + math.log((at.ends + floor) / (at.n + floor * (kinds + 1)))
 
 
 def shape_of(text: str) -> str:
-    """numbers, letters or runs: strings without letters, of nothing else, and the others."""
-    return "letters" if text.isalpha() else "runs" if any(c.isalpha() for c in text) else "numbers"
+    """numbers, capitals, letters or runs: strings without letters, of capitals only, of other letters only, and the others."""
+    if text.isalpha():
+        return "capitals" if text.isupper() else "letters"
+    return "runs" if any(c.isalpha() for c in text) else "numbers"
 
 
 @dataclass
@@ -157,6 +215,9 @@ class Formats:
 
     def score(self, text: str) -> float:
         """The best log-likelihood of the kinds, less the best of ordinary strings."""
+        return self.score_of_symbols(symbols(text))
+
+    def score_of_symbols(self, word: str) -> float:
         if not self.kinds or not self.ordinary:
             return -math.inf
-        return max(a.log_likelihood(text) for a in self.kinds.values()) - max(a.log_likelihood(text) for a in self.ordinary.values())
+        return max(a.likelihood_of_symbols(word) for a in self.kinds.values()) - max(a.likelihood_of_symbols(word) for a in self.ordinary.values())

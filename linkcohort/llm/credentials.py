@@ -1,17 +1,19 @@
-"""Secret scans: fixed patterns, and candidates scored by automata inferred from what the patterns found."""
+"""Secret scans: fixed patterns, and candidates scored by automata inferred from all that the patterns found and all ordinary strings."""
 
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkcohort.llm.automata import Formats
+from linkcohort.llm.automata import Automaton, Formats, shape_of, symbols
 from linkcohort.llm.common import arrow_schema, cut, map_arrow
 
 # The kinds in their order and their patterns.
@@ -23,12 +25,13 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 WORD = re.compile(r"[^\W_]{5,}")
-PLAIN = "^[+/_=-]*({0})?([+/_=-]+({0}))*[+/_=-]*$".format("([A-Z][a-z]{2,})+|[a-z]+([A-Z][a-z]{2,})*|[A-Z]+")  # paths, compounds, rules and the like
-NUMBERS = "^[0-9]+([+/_=-]+[0-9]+)*$"  # dates and ranges too
+SIGNS = re.compile(r"[+/_=-]+")
+PLAIN = re.compile(r"(?:[A-Z][a-z]{2,})+|[a-z]+(?:[A-Z][a-z]{2,})*|[A-Z]+")  # between the signs of paths, compounds, rules and the like
+NUMBERS = re.compile(r"[0-9]+(?:[+/_=-]+[0-9]+)*")  # dates and ranges too
 LEARNED = "format"  # the kind of spans that only the automata found
-MAX_LABELLED = 400  # credentials of each kind that an automaton is inferred from, at most
-MAX_WORDS = 2_000  # ordinary words, at most
-MAX_LENGTH = 200  # of a string that an automaton is inferred from
+RARE = 500  # a start that fewer than one in so many strings of its kind have is no state of its own
+DEPTH = 64  # symbols of a start that is a state of its own, at most
+ONE_IN = 1_000  # held-out ordinary strings, of which one may be taken for a secret
 MARGIN = 6.0  # natural log of how many times likelier than an ordinary word a secret must be, whatever its length
 MOST = 12.0  # likewise, where held-out ordinary strings ask for more
 
@@ -80,27 +83,34 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, i
     return out
 
 
-def sample_word(text: str, base: list[tuple[str, int, int]]) -> str | None:
-    """One ordinary word of a text, the first after its middle, or else before; none if it has a digit or touches a span of ``base``."""
-    m = WORD.search(text, len(text) // 2) or WORD.search(text)
-    if not m or any(c.isdigit() for c in m.group()) or any(a < m.end() and m.start() < b for _, a, b in base):
-        return None
-    return m.group()[:MAX_LENGTH]
+def ordinary_words(text: str, base: list[tuple[str, int, int]], once: set[str], twice: set[str]) -> list[str]:
+    """The words of a text that have no digit, touch no span of ``base`` and are not known from two texts; ``once`` and ``twice`` take them up."""
+    if base:
+        new = {m.group() for m in WORD.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b in base)} - twice
+    else:
+        new = set(WORD.findall(text)) - twice
+    twice |= new & once
+    once |= new
+    return sorted(w for w in new if not any(c.isdigit() for c in w))
 
 
-_FOUND = "doc_id long, n_assign long, n_access long, n_hex long, base string, kinds array<string>, secrets array<string>, starts array<long>, tokens array<string>, word string"
+def is_plain(run: str) -> bool:
+    return bool(NUMBERS.fullmatch(run)) or all(PLAIN.fullmatch(piece) for piece in SIGNS.split(run) if piece)
+
+
+_FOUND = "doc_id long, n_assign long, n_access long, n_hex long, base string, kinds array<string>, secrets array<string>, starts array<long>, tokens array<string>, words array<string>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_FOUND)
     for batch in batches:
-        rows = []
+        rows, once, twice = [], set(), set()
         for text in batch.column(1):
             text = text.as_py() or ""
             base = base_spans(text)
             found = candidates(text, base)
             n = [sum(s[0] == k for s in base) for k in KINDS]
-            rows.append((*n, joined(base), [s[0] for s in base], [credential(text, s) for s in base], [a for a, _ in found], [text[a:b] for a, b in found], sample_word(text, base)))
+            rows.append((*n, joined(base), [s[0] for s in base], [credential(text, s) for s in base], [a for a, _ in found], [text[a:b] for a, b in found], ordinary_words(text, base, once, twice)))
         cols = list(zip(*rows)) if rows else [()] * 9
         yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, f.type) for c, f in zip(cols, list(schema)[1:])]], schema=schema)
 
@@ -113,23 +123,125 @@ def made_examples(seed: int = 17) -> dict[str, list[str]]:
     return out | {"dashed": [f"{x[:8]}-{x[8:12]}-{x[12:16]}-{x[16:20]}-{x[20:]}" for x in dashed]}
 
 
+ORDINARY, TRAINING = "ordinary ", "training "  # before the shape: all ordinary strings, and those not held out
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Credentials by kind, numbers and runs by shape, as if two texts had them; words by shape, with the texts that have them, two a batch at most."""
+    for batch in batches:
+        own, words = {}, Counter()
+        for kinds, secrets, tokens, found in zip(*[c.to_pylist() for c in batch.columns]):
+            own |= dict.fromkeys(zip(kinds, secrets), 2)
+            own |= dict.fromkeys(((ORDINARY + shape_of(t), t) for t in tokens if is_plain(t)), 2)
+            words.update(found)
+        rows = [(*key, n) for key, n in own.items()] + [(ORDINARY + shape_of(w), w, n) for w, n in words.items()]
+        cols = list(zip(*rows)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["own", "text", "texts"])
+
+
+def _symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([symbols(t) for t in batch.column(2).to_pylist()], pa.string())], names=["own", "held", "word"])
+
+
+def _of(own: str, held: bool) -> tuple[str, ...]:
+    """The automata that learn from a string."""
+    return (own, TRAINING + own.removeprefix(ORDINARY)) if own.startswith(ORDINARY) and not held else (own,)
+
+
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each start of the strings, what comes next and how often; nothing at the end."""
+    for batch in batches:
+        n = Counter()
+        for own, held, word, k in zip(*[c.to_pylist() for c in batch.columns]):
+            for name in _of(own, held):
+                for i in range(min(len(word), DEPTH) + 1):
+                    n[name, word[:i], word[i : i + 1]] += k
+        cols = list(zip(*n)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in cols], pa.array(n.values(), pa.int64())], names=["own", "start", "next", "n"])
+
+
+def _trees(words: DataFrame, totals: Mapping[str, int]) -> dict[str, Automaton]:
+    """Automata of the starts that are frequent among all strings of their kind: at most RARE of each length, so few come to the driver."""
+    if not totals:
+        return {}
+    nodes = map_arrow(words, _starts, "own string, start string, next string, n long").groupBy("own", "start", "next").agg(F.sum("n").alias("n"))
+    nodes = nodes.groupBy("own", "start").agg(F.sum("n").alias("n"), F.collect_list(F.struct("next", "n")).alias("nexts"))
+    least = F.element_at(F.create_map(*[F.lit(x) for own, n in totals.items() for x in (own, max(2, math.ceil(n / RARE)))]), F.col("own"))
+    trees: dict[str, dict] = {own: {} for own in totals}
+    for r in nodes.filter(F.col("n") >= least).select("own", "start", "nexts").collect():
+        trees[r.own][r.start] = {x.next: x.n for x in r.nexts}
+    return {own: Automaton.of_tree(tree) for own, tree in sorted(trees.items())}
+
+
+def _counted(words: DataFrame, automata: dict[str, Automaton]) -> dict[str, Automaton]:
+    """The automata with counts of all strings, whole; a row for each state and symbol comes to the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = Counter()
+            for own, held, word, k in zip(*[c.to_pylist() for c in batch.columns]):
+                for name in _of(own, held):
+                    if name in automata:
+                        for at, c in automata[name].steps(word):
+                            n[name, at, c] += k
+            own, at, c = list(zip(*n)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array(at, pa.int64()), pa.array(c, pa.string()), pa.array(n.values(), pa.int64())], names=["own", "state", "next", "n"])
+
+    counts: dict[str, dict] = {own: {} for own in automata}
+    for r in map_arrow(words, count, "own string, state long, next string, n long").groupBy("own", "state", "next").agg(F.sum("n").alias("n")).collect():
+        counts[r.own][r.state, r.next] = r.n
+    return {own: a.counted(counts[own]) for own, a in automata.items()}
+
+
+def _exceeded_by(words: DataFrame, known: Formats, n: int) -> float:
+    """The score, rounded up to a hundredth, that ``n`` of the held-out ordinary strings exceed; between -100 and 100."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [math.ceil(100 * max(-100.0, min(100.0, known.score_of_symbols(w)))) for w in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), batch.column(1)], names=["score", "n"])
+
+    held = words.filter("held").select("word", "n")
+    for r in map_arrow(held, score, "score long, n long").groupBy("score").agg(F.sum("n").alias("n")).orderBy(F.desc("score")).collect():
+        n -= r.n
+        if n < 0:
+            return r.score / 100
+    return -math.inf
+
+
 def learn_formats(found: DataFrame) -> Formats:
     """Automata of labelled credentials and of ordinary strings.
 
-    Labelled are a bounded sample of the distinct credentials of each kind that the
-    patterns found, and examples made of common formats. Ordinary are words, plain
-    numbers and plain runs of the texts, those with the smallest hashes; every other
-    one is held out, to see above which score one in a thousand of them lies.
+    Labelled are all distinct credentials of each kind that the patterns found, and
+    examples made of common formats. Ordinary are all distinct plain numbers and
+    plain runs of the texts, and all distinct words that two texts have: a word of one text
+    only may be a secret itself. A half of them, by their hashes, is held out first, to see
+    above which score one in a thousand of them lies.
+
+    The prefix trees are counted by Spark over all strings. Of them the driver gets the
+    starts that are frequent (``RARE``, ``DEPTH``), from which it infers the states; then
+    Spark counts anew what all strings do in these states, from end to end.
     """
-    pairs = found.filter(F.size("kinds") > 0).select(F.explode(F.arrays_zip("kinds", "secrets")).alias("s")).select("s.kinds", "s.secrets").distinct()
-    pairs = pairs.filter(F.length("secrets") <= MAX_LENGTH)
-    take = lambda df, n: [r[0] for r in df.orderBy(F.xxhash64(df.columns[0]), df.columns[0]).limit(n).collect()]
-    labelled = {k: take(pairs.filter(F.col("kinds") == k).select("secrets"), MAX_LABELLED) for k in KINDS}
-    words = take(found.filter("word IS NOT NULL").select("word").distinct(), MAX_WORDS)
-    runs = found.filter(F.size("tokens") > 0).select(F.explode("tokens").alias("t")).filter(F.length("t") <= MAX_LENGTH)
-    ordinary = [take(runs.filter(F.col("t").rlike(shape)).distinct(), MAX_WORDS // 4) for shape in (NUMBERS, PLAIN)] if words else []
-    every = (words, *ordinary)
-    return Formats.learn(labelled | made_examples(), sum([own[0::2] for own in every], []), sum([own[1::2] for own in every], []))
+    strings = map_arrow(found.select("kinds", "secrets", "tokens", "words"), _strings, "own string, text string, texts long")
+    strings = strings.groupBy("own", "text").agg(F.sum("texts").alias("texts")).filter("texts >= 2")
+    strings = strings.select("own", (F.col("own").startswith(ORDINARY) & (F.xxhash64("text").bitwiseAND(F.lit(1)) == 1)).alias("held"), "text")
+    words = map_arrow(strings, _symbols, "own string, held boolean, word string").groupBy("own", "held", "word").agg(F.count(F.lit(1)).alias("n"))
+    words = cut(words, "formats")
+    totals, held = Counter(), 0
+    for r in words.groupBy("own", "held").agg(F.sum("n").alias("n")).collect():
+        held += r.n if r.held else 0
+        for own in _of(r.own, r.held):
+            totals[own] += r.n
+    if not totals[ORDINARY + "letters"] + totals[ORDINARY + "capitals"]:  # without ordinary words nothing is told
+        totals, held = {own: n for own, n in totals.items() if own in KINDS}, 0
+    if held < ONE_IN:
+        totals = {own: n for own, n in totals.items() if not own.startswith(TRAINING)}
+    automata = _counted(words, _trees(words, {own: n for own, n in totals.items() if n}))
+    part = lambda first: {own.removeprefix(first): a for own, a in automata.items() if own.startswith(first)}
+    kinds = {k: automata[k] for k in KINDS if k in automata} | {k: Automaton(v) for k, v in made_examples().items()}
+    rate_at = _exceeded_by(words, Formats(kinds, part(TRAINING)), held // ONE_IN) if held >= ONE_IN and part(TRAINING) else -math.inf
+    return Formats(kinds, part(ORDINARY), rate_at)
 
 
 def find_secrets(docs: DataFrame, formats: Formats | None = None, margin: float = MARGIN) -> DataFrame:
@@ -137,7 +249,7 @@ def find_secrets(docs: DataFrame, formats: Formats | None = None, margin: float
 
     Each whole text is scanned once; what was found is written, automata are
     inferred from the labelled part of it (or given as ``formats``), and all
-    candidates are scored. Nothing but the samples is shuffled. A candidate is a
+    candidates are scored. Only distinct strings are shuffled. A candidate is a
     secret if the best format is by ``margin`` likelier than ordinary text, or by as much
     more, up to ``MOST``, as leaves one in a thousand of held-out ordinary strings.
 

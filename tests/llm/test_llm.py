@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import random
 import re
 
@@ -419,3 +420,33 @@ def test_short_secrets_of_common_formats_are_found(spark):
         share.setdefault(k, []).append(f":{at}:{at + len(secret)}" in got[i])
     assert all(sum(v) >= 0.9 * len(v) for v in share.values()), {k: sum(v) / len(v) for k, v in share.items()}
     assert sum(got[i] != "" for i in got if i >= 10_000) <= 12  # three in a hundred at most, in so few and so odd words
+
+
+def test_formats_are_learned_from_all_strings(spark):
+    """Each distinct credential, number, plain run and word of two texts counts once, however many there are and wherever they stand."""
+    r = random.Random(31)
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    secrets = ["k" + some(credentials.DIGITS, 5) + some(credentials.LOWER, 5) for _ in range(1500)] + ["a" * 400]
+    words = sorted({some(credentials.LOWER, r.randint(5, 9)) for _ in range(4000)})
+    numbers = sorted({some(credentials.DIGITS, 14) for _ in range(900)} | {"=" * 300})
+    alone = ["".join(r.choices(credentials.UPPER, k=9)) for _ in secrets]
+    rows = [
+        (2 * i + j, f"token: {s} ; " + " ".join(words[4 * i : 4 * i + 4]) + f" {numbers[i % len(numbers)]} {alone[i] if j else ''}")
+        for i, s in enumerate(secrets) for j in range(2)
+    ]
+    found = credentials.map_arrow(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), credentials._scan, credentials._FOUND)
+    known, again = credentials.learn_formats(found), credentials.learn_formats(found.repartition(3))
+    ends = lambda a: sum(s.ends for s in a.states)
+    assert ends(known.kinds["assign"]) == len(set(secrets))
+    assert {k: ends(a) for k, a in known.ordinary.items()} == {"letters": len(words), "numbers": len(numbers)}
+    assert known.false_rate_at == again.false_rate_at > -math.inf
+    assert all(known.score(x) == again.score(x) for x in (secrets[0], words[0], numbers[0], alone[0]))
+
+
+def test_exceeded_by_counts_all_held_out_strings(spark):
+    known = automata.Formats.learn({"key": ["d" * 20]}, WORDS)
+    rows = [("ordinary letters", i % 2 == 0, "h" * (i % 40 + 1), i + 1) for i in range(200)]
+    held = sorted((known.score_of_symbols(w) for _, h, w, n in rows if h for _ in range(n)), reverse=True)
+    words = spark.createDataFrame(rows, "own string, held boolean, word string, n long")
+    for n in (0, 10, 500, len(held) - 1):
+        assert 0 <= credentials._exceeded_by(words, known, n) - held[n] < 0.01 + 1e-9
