@@ -107,8 +107,14 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
     Only rows that match a list reach the episode aggregate.
     """
     long = long if "urgent" in long.columns else mark_urgent(long, emergency)
-    rows = long.filter(F.col("urgent") | (F.col("code_type") == "opertn"))
     diag = long.filter(F.col("urgent") & (F.col("code_type") == "diag"))
+    episodes = presenting_episodes(long, codes, medical)
+    return diag.join(episodes, ["tpid", "epistart"]).withColumn("phen_group", F.col("group")).select(*OUT)
+
+
+def presenting_episodes(long: DataFrame, codes: DataFrame, medical: DataFrame) -> DataFrame:
+    """tpid, epistart, group of the episodes that present with a group; ``long`` has ``urgent``."""
+    rows = long.filter(F.col("urgent") | (F.col("code_type") == "opertn"))
 
     # each row's compared prefixes, looked up in one join
     entries = presentation_entries(codes, medical).filter(F.col("_k").isin(3, 4)).select(F.col("_type").alias("_t"), F.col("code").alias("_c"), "_tags")
@@ -128,8 +134,7 @@ def presentations(long: DataFrame, codes: DataFrame, medical: DataFrame, emergen
     group = F.lit(None).cast("string")
     for n in flags:  # later groups take precedence
         group = F.when(F.col(n), F.lit(n)).otherwise(group)
-    episodes = episodes.select("tpid", "epistart", group.alias("group")).filter(F.col("group").isNotNull())
-    return diag.join(episodes, ["tpid", "epistart"]).withColumn("phen_group", F.col("group")).select(*OUT)
+    return episodes.select("tpid", "epistart", group.alias("group")).filter(F.col("group").isNotNull())
 
 
 def phenotype_codes(
@@ -139,3 +144,17 @@ def phenotype_codes(
     return chronic_conditions(long, chronic, cfg.chronic_label).unionByName(
         presentations(long, presenting, medical, emergency)
     )
+
+
+def phenotype_episodes(
+    long: DataFrame, cfg: Config, chronic: DataFrame, presenting: DataFrame, medical: DataFrame, emergency: DataFrame
+) -> DataFrame:
+    """tpid, epistart, phen_group of all phenotype codes, for whoever asks which groups a person has.
+
+    An episode presents by a diagnosis of its own, so :func:`presentations` has at least
+    one row of it; its diagnoses need not be expanded and joined once more to know that.
+    """
+    long = long if "urgent" in long.columns else mark_urgent(long, emergency)
+    found = presenting_episodes(long, presenting, medical).filter("tpid IS NOT NULL AND epistart IS NOT NULL")
+    own = chronic_conditions(long, chronic, cfg.chronic_label).select("tpid", "epistart", "phen_group")
+    return own.unionByName(found.withColumnRenamed("group", "phen_group"))

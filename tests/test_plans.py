@@ -1,6 +1,7 @@
 """What the plans may not contain, and what they must."""
 
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -112,3 +113,23 @@ def test_dates_of_phenotypes_are_no_filter_on_the_episodes(spark):
     out = phenotype_summary(codes, Config(phenotype_from=dt.date(1992, 1, 1), phenotype_to=dt.date(1994, 1, 1)))
     assert "Filter" not in plan(out).split("HashAggregate")[-1]  # the part below the aggregate
     assert {r.tpid: (r.chc_chronic, r.chc_psych) for r in out.collect()} == {"T1": (True, False)}
+
+
+def test_groups_of_episodes_need_no_second_look_at_their_diagnoses(spark):
+    r = random.Random(3)
+    rows = [
+        (r.choice(["T1", "T2", "T3", None]), 1996, r.choice(["1990-01-05", "1991-02-06", None]), r.choice(["21", "11", None]), r.choice([2, 12, 7001]), r.choice([1, 5, None]),
+         r.choice(["diag", "opertn"]), r.randint(1, 3), r.choice(["R104", "K35", "X600", "J450", "A123", "E109", ""]))
+        for _ in range(60)
+    ]
+    long = spark.createDataFrame(rows, "tpid string, y7_year int, epistart string, admimeth string, startage int, spell_los_nights int, code_type string, code_no int, code string")
+    lists = [
+        codelist(spark, [("J45", "LOS3", "respiratory"), ("E10", "", "metabolic")], ["code", "flag", "group"]),
+        codelist(spark, [("R10", "potentially_psych", ""), ("X60", "selfharm", "")], ["code", "group", "flag2"]),
+        codelist(spark, [("K35", "icd10"), ("A123", "opcs4")], ["code", "code_type"]), codelist(spark, [("21",)], ["code"]),
+    ]
+    want = phenotypes.phenotype_codes(long, Config(), *lists).select("tpid", "epistart", "phen_group")
+    got = phenotypes.phenotype_episodes(long, Config(), *lists)
+    assert {tuple(x) for x in got.collect()} == {tuple(x) for x in want.collect()}
+    combined = entry_module.queries()["q_combine"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in combined.splitlines() if "Join" in x and len(re.findall("epistart#", x)) >= 2]

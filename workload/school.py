@@ -371,7 +371,7 @@ def parts(d: Data) -> dict:
         "demographics_modals": demographics.modal_demographics(census, cfg, spine),
         "demographics_y7": demographics.year7_demographics(census, cfg, spine),
         "demographics_ever": demographics.ever_demographics(census, cfg, spine),
-        "phen_codes": phenotypes.phenotype_codes(_long(d), cfg, *s.phenotype_lists(d)),
+        "phen_codes": phenotypes.phenotype_episodes(_long(d), cfg, *s.phenotype_lists(d)),
         "enrolments": school.enrolments(census, cfg, spine),
         "exclusions": school.exclusions(s.exclusion_tables(d), cfg, spine),
         "absence": school.absence(s.absence_tables(d), cfg, spine),
